@@ -7,6 +7,8 @@ batch function. A native quick check keeps all other strings inside the JVM.
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -57,18 +59,24 @@ _WS = _char_class(WHITESPACE)
 _WS_NOT_SPACE = _char_class(WHITESPACE.replace(" ", ""))
 
 
+def _normalized(texts: pa.Array) -> pa.Array:
+    # Not Arrow's own utf8_normalize, which decomposes but does not compose again.
+    nfkc_form = [t if t is None else unicodedata.normalize("NFKC", t) for t in texts.to_pylist()]
+    return pa.array(nfkc_form, pa.string())
+
+
 # Both functions are declared non-deterministic although they are not: the planner then
 # evaluates each call exactly once, where it stands, instead of copying it (and the text
 # steps around it) into every later expression or below a later filter.
 @F.arrow_udf(T.StringType())
 def _nfkc_batch(texts: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(texts, form="NFKC")
+    return _normalized(texts)
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def _nfkc_list_batch(lists: pa.Array) -> pa.Array:
     # flatten() drops null lists and honours slices, so offsets are rebuilt from lengths.
-    values = pc.utf8_normalize(lists.flatten(), form="NFKC")
+    values = _normalized(lists.flatten())
     ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(lists), 0))
     offsets = pa.concat_arrays([pa.array([0], ends.type), ends])
     kind = pa.LargeListArray if pa.types.is_large_list(lists.type) else pa.ListArray
