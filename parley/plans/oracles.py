@@ -171,8 +171,8 @@ UNION ALL SELECT 4, 'chat', 'train', count(*) FROM firsts JOIN keyed USING (conv
 SELECT doc_id, CASE WHEN place < 0.1 THEN 'test' WHEN place < 0.1::DOUBLE + 0.2::DOUBLE THEN 'validation' ELSE 'train' END AS split FROM h""",
     "first_rows_per_split": """SELECT lang AS split, doc_id, n_chars FROM documents
 QUALIFY row_number() OVER (PARTITION BY lang ORDER BY doc_id) <= 20""",
-    "many_first_rows_per_split": """SELECT l_returnflag AS split, l_orderkey, l_linenumber, l_partkey FROM lineitem
-QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber) <= 5000""",
+    "many_first_rows_per_split": """SELECT o_orderstatus AS split, o_custkey, o_orderkey, o_totalprice FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_custkey, o_orderkey) <= 4500""",
     "eval_rows": f"WITH {_exact_split('documents', 'doc_id', 0.5, 0.0)} SELECT split, doc_id FROM parts WHERE split = 'test' ORDER BY doc_id LIMIT 100",
     "dataset_profile": """SELECT lang AS split, count(*) AS rows, 'doc_id,text,lang,source,n_chars' AS columns,
   'text,lang,source' AS string_columns, 'int=2,str=3' AS column_types FROM documents GROUP BY lang""",
@@ -181,8 +181,8 @@ FROM (SELECT DISTINCT lang FROM documents),
   (SELECT unnest([{'ordinal': 0, 'name': 'doc_id', 'type': 'bigint'}, {'ordinal': 1, 'name': 'text', 'type': 'string'},
     {'ordinal': 2, 'name': 'lang', 'type': 'string'}, {'ordinal': 3, 'name': 'source', 'type': 'string'},
     {'ordinal': 4, 'name': 'n_chars', 'type': 'bigint'}]) AS c)""",
-    "first_rows_shown": """SELECT l_linestatus AS split, l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem
-QUALIFY row_number() OVER (PARTITION BY l_linestatus ORDER BY l_orderkey, l_linenumber) <= 3""",
+    "first_rows_shown": """SELECT c_mktsegment AS split, c_custkey, c_name, c_nationkey, c_acctbal FROM customer
+QUALIFY row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) <= 3""",
     "splits_listed": "SELECT lang AS split, count(*) AS rows FROM documents GROUP BY lang",
     "picked_example": """SELECT lang AS split, doc_id, text FROM documents WHERE lang = (SELECT min(lang) FROM documents)
 ORDER BY doc_id OFFSET 7 LIMIT 1""",

@@ -337,9 +337,9 @@ def first_rows_per_split(spark, sf):
 
 @query
 def many_first_rows_per_split(spark, sf):
-    items = table(spark, sf, "lineitem").withColumn("split", F.col("l_returnflag"))
-    first = head_per_split(items, 5_000, ["l_orderkey", "l_linenumber"])
-    return first.select("split", "l_orderkey", "l_linenumber", "l_partkey")
+    orders = table(spark, sf, "orders").withColumn("split", F.col("o_orderstatus"))
+    first = head_per_split(orders, 4_500, ["o_custkey", "o_orderkey"])
+    return first.select("split", "o_custkey", "o_orderkey", "o_totalprice")
 
 
 @query
@@ -375,8 +375,8 @@ def columns_per_split(spark, sf):
 
 @query
 def first_rows_shown(spark, sf):
-    items = table(spark, sf, "lineitem").withColumn("split", F.col("l_linestatus"))
-    return preview(items, order_by=["l_orderkey", "l_linenumber"])
+    customers = table(spark, sf, "customer").withColumn("split", F.col("c_mktsegment"))
+    return preview(customers, columns=4, order_by=["c_custkey"])
 
 
 @query
