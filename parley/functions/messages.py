@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from parley.constants import ASSISTANT, SYSTEM, USER
 from parley.functions.roles import is_alias, role_of
-from parley.functions.text import compact_text, is_blank, nfkc_array, normalize_text, strip, tidy
+from parley.functions.text import compact_text, is_blank, let, nfkc_array, normalize_text, strip, tidy
 
 MESSAGE = T.StructType().add("role", T.StringType()).add("content", T.StringType())
 MESSAGES = T.ArrayType(MESSAGE)
@@ -47,11 +47,6 @@ def _none() -> Column:
     return F.lit(None).cast(MESSAGES)
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times in ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _or_null(messages: Column) -> Column:
     """An empty list becomes null."""
     return F.get(F.filter(F.array(messages), lambda m: F.size(m) > 0), F.lit(0))

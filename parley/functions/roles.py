@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from parley.constants import ROLE_ALIASES, ROLE_KEYWORDS, USER
-from parley.functions.text import normalize_text
+from parley.functions.text import let, normalize_text
 
 Keywords = Sequence[tuple[str, Sequence[str]]]
 
@@ -41,5 +41,4 @@ def normalize_role(
     keywords: Keywords = ROLE_KEYWORDS,
 ) -> Column:
     """Role of a raw speaker name; null and unknown names are users."""
-    name = F.array(normalize_text(col))
-    return F.get(F.transform(name, lambda n: role_of(n, aliases, keywords)), F.lit(0))
+    return let(normalize_text(col), lambda name: role_of(name, aliases, keywords))

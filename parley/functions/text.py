@@ -8,6 +8,9 @@ batch function. A native quick check keeps all other strings inside the JVM.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,46 +20,60 @@ from pyspark.sql import types as T
 
 from parley.constants import WHITESPACE, ZERO_WIDTH
 
-# Code point ranges whose characters NFKC never changes and that never combine
-# with a neighbour. A string made only of these is already in NFKC form.
+# Code point ranges, the frequent ones first, whose characters NFKC never changes and that
+# never combine with a neighbour. A string of only these and ASCII is already in NFKC form.
 _NFKC_STABLE = (
-    (0x0000, 0x009F),
+    (0x00BF, 0x0131),
+    (0x4E00, 0x9FFF),
+    (0x3001, 0x3029),
+    (0x3041, 0x3096),
+    (0x30A1, 0x30FE),
+    (0xAC00, 0xD7A3),
+    (0x0400, 0x0481),
+    (0x048A, 0x052F),
+    (0x2012, 0x2016),
+    (0x2018, 0x2023),
+    (0x0080, 0x009F),
     (0x00A1, 0x00A7),
     (0x00A9, 0x00A9),
     (0x00AB, 0x00AE),
     (0x00B0, 0x00B1),
     (0x00B6, 0x00B7),
     (0x00BB, 0x00BB),
-    (0x00BF, 0x0131),
     (0x0134, 0x013E),
     (0x0141, 0x0148),
     (0x014A, 0x017E),
     (0x0180, 0x01C3),
     (0x01CD, 0x01F0),
     (0x01F4, 0x02AF),
-    (0x0400, 0x0481),
-    (0x048A, 0x052F),
-    (0x2010, 0x2010),
-    (0x2012, 0x2016),
-    (0x2018, 0x2023),
-    (0x3001, 0x3029),
-    (0x3041, 0x3096),
-    (0x30A1, 0x30FE),
-    (0x4E00, 0x9FFF),
-    (0xAC00, 0xD7A3),
     (0x1F300, 0x1F64F),
     (0x1F680, 0x1F6FF),
     (0x1F900, 0x1F9FF),
 )
 
 
-def _char_class(chars: str) -> str:
+
+
+def _singles(chars: str) -> str:
     return "".join(f"\\x{{{ord(c):X}}}" for c in chars)
 
 
-_MAY_CHANGE = "[^" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in _NFKC_STABLE) + "]"
-_WS = _char_class(WHITESPACE)
-_WS_NOT_SPACE = _char_class(WHITESPACE.replace(" ", ""))
+def _ranges(pairs: tuple[tuple[int, int], ...]) -> str:
+    return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in pairs)
+
+
+# Java tests the parts of a character class one after another for every character of the
+# text. A cheap first test decides most characters: ASCII never changes under NFKC, and
+# whitespace beyond Latin-1 lies between U+1680 and U+3000.
+_MAY_CHANGE = f"[[^\\x{{0}}-\\x{{7F}}]&&[^{_ranges(_NFKC_STABLE)}]]"
+_LATIN_1 = "".join(c for c in WHITESPACE if ord(c) < 256)
+_BEYOND = "".join(c for c in WHITESPACE if ord(c) >= 256)
+_WS = f"[{_singles(_LATIN_1)}[\\x{{1680}}-\\x{{3000}}&&[{_singles(_BEYOND)}]]]"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it several times in ``body``."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _normalized(texts: pa.Array) -> pa.Array:
@@ -116,15 +133,26 @@ def is_blank(col: Column) -> Column:
     return F.coalesce(F.btrim(col, F.lit(WHITESPACE + ZERO_WIDTH)) == "", F.lit(True))
 
 
+def _replace_in(col: Column, signs: Sequence[str], pattern: str, new: str) -> Column:
+    """Regular expression replacement, only for texts that contain one of ``signs``."""
+
+    def change(text: Column) -> Column:
+        found = reduce(or_, [F.contains(text, F.lit(s)) for s in signs])
+        return F.when(found, F.regexp_replace(text, pattern, new)).otherwise(text)
+
+    return let(col, change)
+
+
 def tidy(col: Column) -> Column:
     """The steps of ``normalize_text`` after NFKC. Usable inside a lambda.
 
-    The patterns match only where the text has to change, so ordinary single
-    spaces are never rewritten.
+    The patterns match only where the text has to change, and are not even
+    tried on texts without a tab, a double blank or three line breaks in a row.
     """
-    visible = F.translate(col, ZERO_WIDTH, "")
-    spaces = F.regexp_replace(visible, r"[ \t]{2,}|\t", " ")
-    return strip(F.regexp_replace(spaces, r"\n{3,}", "\n\n"))
+    for mark in ZERO_WIDTH:
+        col = F.replace(col, F.lit(mark))
+    spaces = _replace_in(col, ("\t", "  "), r"[ \t]{2,}|\t", " ")
+    return strip(_replace_in(spaces, ("\n\n\n",), r"\n{3,}", "\n\n"))
 
 
 def normalize_text(col: Column) -> Column:
@@ -137,8 +165,11 @@ def normalize_text(col: Column) -> Column:
 
 
 def compact_text(col: Column) -> Column:
-    """All whitespace runs to one space, stripped; null becomes the empty string."""
-    single = F.regexp_replace(col, f"[{_WS_NOT_SPACE}][{_WS}]*| [{_WS}]+", " ")
+    """All whitespace runs to one space, stripped; null becomes the empty string.
+
+    A single space is no match, so ordinary text is scanned but not rebuilt.
+    """
+    single = F.regexp_replace(col, f"{_WS}(?:(?<! )|{_WS}){_WS}*", " ")
     return F.coalesce(F.btrim(single, F.lit(" ")), F.lit(""))
 
 

@@ -20,9 +20,9 @@ from pyspark.sql import types as T
 Encode = Callable[[list[str]], list[list[int]]]
 TokenizerFactory = Callable[[], Encode]
 
-_LATIN = r"0-9A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}"
 # A run of Latin letters and digits is one token, any other visible character is one too.
-WORD_PATTERN = rf"[{_LATIN}]+|[^{_LATIN}\x{{9}}-\x{{D}}\x{{20}}]"
+LATIN = r"0-9A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}"
+BLANK = r"\x{9}-\x{D}\x{20}"
 
 
 def tokenizer_file(path: str) -> TokenizerFactory:
@@ -66,7 +66,9 @@ def token_count(text: Column, tokenizer: str | TokenizerFactory = "words") -> Co
     if callable(tokenizer):
         return F.when(text.isNotNull(), _count_udf(tokenizer)(text))
     if tokenizer == "words":
-        return F.regexp_count(text, F.lit(WORD_PATTERN)).cast("bigint")
+        # One character per token is left to count, no list of matches is built.
+        words = F.regexp_replace(text, f"[{LATIN}]+", "a")
+        return F.length(F.regexp_replace(words, f"[{BLANK}]+", "")).cast("bigint")
     if tokenizer == "codepoints":
         return F.length(text).cast("bigint")
     raise ValueError(f"unknown tokenizer {tokenizer!r}")

@@ -23,6 +23,7 @@ from parley.functions.messages import MESSAGES, extract_reply
 from parley.functions.text import strip
 from parley.functions.tokens import TokenizerFactory, token_count
 from parley.operators.turns import fold_turns
+from parley.session import materialize
 
 # Answers a list of messages with a text, or with the whole chat as messages.
 Reply = Callable[[list[dict], int], "str | list[dict]"]
@@ -113,8 +114,13 @@ def compare_markdown(df: DataFrame, on: str = "ord", prompt: str = "prompt") ->
 
 
 def write_comparison(df: DataFrame, path: str, on: str = "ord", prompt: str = "prompt") -> None:
-    """Save the Markdown report as text files whose order is the report's."""
-    compare_markdown(df, on, prompt).orderBy(on).select("value").write.text(path)
+    """Save the Markdown report as text files whose order is the report's.
+
+    A sort looks at its input twice; the replies are written down first so that
+    the models run once.
+    """
+    told = compare_markdown(materialize(df, "comparison"), on, prompt)
+    told.orderBy(on).select("value").write.text(path)
 
 
 def chat_history(

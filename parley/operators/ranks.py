@@ -21,6 +21,8 @@ _FETCH_ROWS = 4096
 _LOWEST = -(2**63)
 
 Cut = tuple[int, ...]
+# Lowest and highest first order value of a group, and its number of rows.
+Bounds = tuple[int, int, int]
 
 
 @dataclass
@@ -66,20 +68,29 @@ class _Pass:
 
 
 def order_cuts(
-    df: DataFrame, group: Column, order: Sequence[Column], ranks: Mapping[str, Sequence[int]]
+    df: DataFrame,
+    group: Column,
+    order: Sequence[Column],
+    ranks: Mapping[str, Sequence[int]],
+    bounds: Mapping[str, Bounds],
 ) -> dict[str, list[Cut | None]]:
     """For each group and each rank, the order values of the row at that rank.
 
-    ``order`` columns are whole numbers, compared one after another. A rank
-    beyond the group's size gives None. Rows that share all order values with
-    others cannot be told apart; a cut through such rows is an error.
+    ``order`` columns are whole numbers, compared one after another; ``bounds``
+    come from ``order_bounds`` or are known beforehand. A rank at or beyond the
+    group's size gives None: there is nothing to cut. Rows that share all order
+    values with others cannot be told apart; a cut through such rows is an error.
     """
     slim = df.select(
-        group.alias("_group"),
-        *[F.coalesce(o.cast("bigint"), F.lit(_LOWEST)).alias(f"_o{i}") for i, o in enumerate(order)],
+        group.alias("_group"), *[_whole(o).alias(f"_o{i}") for i, o in enumerate(order)]
     )
-    searches = {(g, r): _Search(g, r) for g, rs in ranks.items() for r in rs}
-    todo = list(searches.values())
+    searches = {}
+    for g, rs in ranks.items():
+        low, high, rows = bounds[g]
+        for r in rs:
+            cut = None if 0 < r < rows else ()
+            searches[g, r] = _Search(g, r, low=low, high=high, cut=cut, few=rows <= _FETCH_ROWS)
+    todo = [s for s in searches.values() if s.cut is None]
     while todo:
         _open_level(slim, [s for s in todo if s.low is None])
         todo = [s for s in todo if s.cut is None]
@@ -90,6 +101,21 @@ def order_cuts(
     return {g: [searches[g, r].cut or None for r in rs] for g, rs in ranks.items()}
 
 
+def _whole(col: Column) -> Column:
+    return F.coalesce(col.cast("bigint"), F.lit(_LOWEST))
+
+
+def order_bounds(df: DataFrame, group: Column, order: Column) -> dict[str, Bounds]:
+    """Bounds of every non-null group, in one aggregation."""
+    value = _whole(order)
+    found = (
+        df.groupBy(group.alias("_group"))
+        .agg(F.min(value), F.max(value), F.count(F.lit(1)))
+        .where(F.col("_group").isNotNull())
+    )
+    return {r[0]: (r[1], r[2], r[3]) for r in found.collect()}
+
+
 def _open_level(slim: DataFrame, searches: list[_Search]) -> None:
     """Range and number of the next order column's values."""
     if not searches:
@@ -105,11 +131,8 @@ def _open_level(slim: DataFrame, searches: list[_Search]) -> None:
     bounds = {r[0]: r[1:] for r in found}
     at = [step.nodes.index(s.node()) for s in searches]
     for s, i in zip(searches, at, strict=True):
-        low, high, rows = bounds.get(i, (0, 0, 0))
-        if s.rank > rows or s.rank < 1:
-            s.cut = ()
-        else:
-            s.low, s.high, s.few = low, high, rows <= _FETCH_ROWS
+        s.low, s.high, rows = bounds[i]
+        s.few = rows <= _FETCH_ROWS
 
 
 def _fetch(slim: DataFrame, searches: list[_Search], levels: int) -> None:

@@ -19,7 +19,7 @@ from parley.constants import (
     VALIDATION,
     VALIDATION_FRACTION,
 )
-from parley.operators.ranks import order_cuts, within_cut
+from parley.operators.ranks import Cut, order_bounds, order_cuts, within_cut
 from parley.sources.datasets import POSITION, SPLIT, list_splits, with_split
 
 log = logging.getLogger(__name__)
@@ -51,30 +51,24 @@ def _hash_words(digest: Column) -> list[Column]:
     ]
 
 
-def base_split(df: DataFrame) -> DataFrame:
-    """The rows to split: ``train`` if there is one, else the first split.
+def _base_split(df: DataFrame) -> tuple[DataFrame, int]:
+    """The rows to split and their number: ``train`` if there is one, else the first split.
 
-    Rows of other splits are left out; their number is logged.
+    Rows of other splits are left out; their number is logged. A frame that
+    has train, validation and test already comes with -1.
     """
     if SPLIT not in df.columns:
-        return df
+        return df, df.count()
     sizes = {r[SPLIT]: r["rows"] for r in list_splits(df).collect()}
-    if not sizes or {TRAIN, VALIDATION, TEST} <= set(sizes):
-        return df
+    if {TRAIN, VALIDATION, TEST} <= set(sizes):
+        return df, -1
+    if not sizes:
+        return df, 0
     base = TRAIN if TRAIN in sizes else min(sizes)
-    dropped = sum(n for name, n in sizes.items() if name != base)
+    dropped = sum(sizes.values()) - sizes[base]
     if dropped:
         log.warning("splitting %r only: %d rows of other splits are left out", base, dropped)
-    return df.where(F.col(SPLIT) == base)
-
-
-def is_split(df: DataFrame) -> bool:
-    """True if train, validation and test all exist."""
-    if SPLIT not in df.columns:
-        return False
-    names = {TRAIN, VALIDATION, TEST}
-    found = df.select(SPLIT).where(F.col(SPLIT).isin(*names)).distinct().collect()
-    return {r[0] for r in found} == names
+    return df.where(F.col(SPLIT) == base), sizes[base]
 
 
 def split_dataset(
@@ -92,34 +86,33 @@ def split_dataset(
 
     ``mode="exact"`` gives exactly the asked sizes: the hash values at the two
     cut ranks are found by counting (see ``ranks``), then each row is compared
-    with them in place. The key must identify a row. ``mode="hash"`` compares
-    the hash with the fractions directly: one pass, sizes right on average.
+    with them in place, without a shuffle. The key must identify a row. The
+    counting passes read only the key, so ``materialize`` an expensive input
+    first. ``mode="hash"`` compares the hash with the fractions directly: one
+    pass, sizes right on average.
     """
+    if mode not in ("exact", "hash"):
+        raise ValueError(f"mode must be 'exact' or 'hash', not {mode!r}")
     key = [key] if isinstance(key, str) else list(key)
-    if is_split(df):
+    base, rows = _base_split(df)
+    if rows < 0:
         return df
-    base = base_split(df)
     digest = split_hash(key, seed)
     if mode == "hash":
         at = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(float(2**32))
         part = F.when(at < test, TEST).when(at < test + validation, VALIDATION).otherwise(TRAIN)
         return base.withColumn(SPLIT, part)
-    if mode != "exact":
-        raise ValueError(f"mode must be 'exact' or 'hash', not {mode!r}")
 
-    rows = base.count()
     _, n_validation, n_test = split_sizes(rows, test, validation)
     order = _hash_words(digest)
-    ranks = [n_test, n_test + n_validation]
-    cuts = order_cuts(base, F.lit("all"), order, {"all": [r for r in ranks if 0 < r < rows]})["all"]
-    ends = {r: c for r, c in zip([r for r in ranks if 0 < r < rows], cuts, strict=True)}
+    ends = [n_test, n_test + n_validation]
+    cuts = order_cuts(base, F.lit("all"), order, {"all": ends}, {"all": (0, 16**15 - 1, rows)})["all"]
 
-    def upto(rank: int) -> Column:
-        if rank <= 0:
-            return F.lit(False)
-        return F.lit(True) if rank >= rows else within_cut(order, ends[rank])
+    def upto(end: int, cut: Cut | None) -> Column:
+        return F.lit(end > 0) if cut is None else within_cut(order, cut)
 
-    part = F.when(upto(ranks[0]), TEST).when(upto(ranks[1]), VALIDATION).otherwise(TRAIN)
+    in_test, held_out = (upto(end, cut) for end, cut in zip(ends, cuts, strict=True))
+    part = F.when(in_test, TEST).when(held_out, VALIDATION).otherwise(TRAIN)
     return base.withColumn(SPLIT, part)
 
 
@@ -155,15 +148,15 @@ def _top_n(df: DataFrame, n: int, by: list[str], order_by: list[str]) -> DataFra
 
 
 def _head_by_cut(df: DataFrame, n: int, order_by: list[str], by: str) -> DataFrame:
-    names = [r[0] for r in df.select(by).distinct().collect() if r[0] is not None]
     order = [F.col(c) for c in order_by]
-    cuts = order_cuts(df, F.col(by), order, {name: [n] for name in names})
-    cut_names = [name for name, (cut,) in cuts.items() if cut is not None]
-    if not cut_names:
+    bounds = order_bounds(df, F.col(by), order[0])
+    found = order_cuts(df, F.col(by), order, {name: [n] for name in bounds}, bounds)
+    cuts = {name: cut for name, (cut,) in found.items() if cut is not None}
+    if not cuts:
         return df
-    keep = ~F.col(by).isin(*cut_names)
-    for name in cut_names:
-        keep = keep | ((F.col(by) == name) & within_cut(order, cuts[name][0]))
+    keep = ~F.col(by).isin(*cuts)
+    for name, cut in cuts.items():
+        keep = keep | ((F.col(by) == name) & within_cut(order, cut))
     return df.where(keep)
 
 

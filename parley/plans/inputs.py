@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.operators.turns import fold_turns
+from parley.session import spread
 
 ASCII = "".join(map(chr, range(0x20, 0x7F)))
 FULL_WIDTH = "\u3000" + "".join(map(chr, range(0xFF01, 0xFF5F)))
@@ -47,6 +48,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, for work that is heavy per text."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def widen(text: Column) -> Column:
     """ASCII characters as their full-width forms."""
     return F.translate(text, ASCII, FULL_WIDTH)
@@ -62,7 +68,7 @@ def untidy_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("doc_id") % 5 == 3, F.concat(F.lit("\u3000\n "), F.replace(text, F.lit("\n"), F.lit("\n\n\n\n"))))
         .otherwise(F.concat(F.lit("\ufeff \u00a0"), text, F.lit("\u2003\t")))
     )
-    return table(spark, sf_dir, "documents").withColumn("text", untidy)
+    return documents(spark, sf_dir).withColumn("text", untidy)
 
 
 def untidy_turns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from parley.constants import HISTOGRAM_BINS, MAX_LENGTH, WHITESPACE
-from parley.functions.tokens import WORD_PATTERN
+from parley.functions.tokens import BLANK, LATIN
 from parley.plans.inputs import NAMES, SPEAKERS
 
 _WS = "".join(f"\\x{{{ord(c):X}}}" for c in WHITESPACE)
@@ -30,7 +30,7 @@ def compact(expr: str) -> str:
 
 
 def tokens(expr: str) -> str:
-    return f"len(regexp_extract_all({expr}, {_text(WORD_PATTERN)}))"
+    return f"len(regexp_extract_all({expr}, '[{LATIN}]+|[^{LATIN}{BLANK}]'))"
 
 
 # Whole conversations in one form: tagged text, chat template text.

@@ -48,6 +48,7 @@ from parley.operators.turns import fold_turns, unfold_turns
 from parley.plans.inputs import (
     NAMES,
     chats,
+    documents,
     exchanges,
     table,
     untidy_conversations,
@@ -84,7 +85,7 @@ def query(run: Query) -> Query:
 
 @query
 def nfkc_text(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     return docs.select("doc_id", nfkc(widen(F.col("text"))).alias("text"))
 
 
@@ -97,7 +98,7 @@ def normalized_text(spark, sf):
 def compacted_text(spark, sf):
     spaced = F.when(F.col("doc_id") % 2 == 0, F.replace("text", F.lit(" "), F.lit("\u3000\t "))).otherwise(F.col("text"))
     text = F.when(F.col("doc_id") % 7 != 0, spaced)
-    return table(spark, sf, "documents").select("doc_id", compact_text(text).alias("text"))
+    return documents(spark, sf).select("doc_id", compact_text(text).alias("text"))
 
 
 @query
@@ -115,7 +116,7 @@ def content_keys(spark, sf):
 
 @query
 def row_keys(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     return docs.select("doc_id", row_key(docs).alias("key"))
 
 
@@ -137,7 +138,7 @@ def char_lengths(spark, sf):
 
 @query
 def token_counts(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", token_count(F.col("text")).alias("tokens"))
+    return documents(spark, sf).select("doc_id", token_count(F.col("text")).alias("tokens"))
 
 
 @query
@@ -292,7 +293,7 @@ def deduplicated_documents(spark, sf):
 
 @query
 def deduplicated_globally(spark, sf):
-    docs = table(spark, sf, "documents").withColumn("split", F.col("source"))
+    docs = documents(spark, sf).withColumn("split", F.col("source"))
     return remove_duplicates(docs, order_by=["doc_id"], scope="global").select("split", "doc_id")
 
 
@@ -352,7 +353,7 @@ def eval_rows(spark, sf):
 
 
 def _documents_by_language(spark, sf):
-    return table(spark, sf, "documents").withColumn("split", F.col("lang"))
+    return documents(spark, sf).withColumn("split", F.col("lang"))
 
 
 @query
@@ -438,7 +439,7 @@ def parquet_roundtrip(spark, sf):
 def stored_order(spark, sf):
     path = scratch_path(spark, "stored_order")
     docs = _documents_by_language(spark, sf)
-    write_dataset(docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id"), path)
+    write_dataset(docs.repartitionByRange(4, "doc_id").sortWithinPartitions("split", "doc_id"), path)
     return head_per_split(read_dataset(spark, path, position=True), 10).select("split", "doc_id")
 
 

@@ -7,7 +7,7 @@ import time
 
 import __spark_entry__ as entry
 from parley.session import build_session
-from tests.oracle import connect, differences
+from tests.comparing import connect, differences
 
 
 def main() -> None:
