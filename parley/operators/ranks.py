@@ -193,8 +193,11 @@ def within_cut(order: Sequence[Column], cut: Cut) -> Column:
 
     Plain comparisons, so that the scan can use them too.
     """
-    columns = order[: len(cut)]
-    test = columns[-1].isNull() | (columns[-1] <= cut[-1])
-    for column, value in reversed(list(zip(columns[:-1], cut[:-1], strict=True))):
-        test = column.isNull() | (column < value) | ((column == value) & test)
+    test = F.lit(True)
+    for column, value in reversed(list(zip(order, cut, strict=False))):
+        if value == _LOWEST:
+            before, equal = F.lit(False), column.isNull() | (column == value)
+        else:
+            before, equal = column.isNull() | (column < value), column == value
+        test = before | (equal & test)
     return test
