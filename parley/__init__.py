@@ -1,0 +1,10 @@
+"""Parley: preparing, profiling and evaluating chat-style dialogue data on Spark."""
+
+from __future__ import annotations
+
+import sys
+
+from pyspark import cloudpickle
+
+# Batch functions travel to the executors by value, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -2,7 +2,9 @@
 
 Everything here is a built-in Spark expression, with one exception: Spark has
 no NFKC function, so strings that may change under NFKC go through an Arrow
-batch function. A native quick check keeps all other strings inside the JVM.
+batch function. Native checks keep all other strings inside the JVM, also those
+where only full-width forms, wide spaces or ellipses have to be folded, which
+is what ordinary Chinese text needs.
 """
 
 from __future__ import annotations
@@ -53,6 +55,14 @@ _NFKC_STABLE = (
 
 
 
+# Single characters that NFKC turns into one ASCII character, wherever they stand: full-width
+# forms and the spaces beyond ASCII; and the ellipsis, which it turns into three dots.
+_FOLD_FROM = "".join(map(chr, range(0xFF01, 0xFF5F))) + "".join(
+    c for c in WHITESPACE if c > "\x7f" and unicodedata.normalize("NFKC", c) == " "
+)
+_FOLD_TO = "".join(unicodedata.normalize("NFKC", c) for c in _FOLD_FROM)
+_ELLIPSIS = "\u2026"
+
 
 def _singles(chars: str) -> str:
     return "".join(f"\\x{{{ord(c):X}}}" for c in chars)
@@ -65,7 +75,9 @@ def _ranges(pairs: tuple[tuple[int, int], ...]) -> str:
 # Java tests the parts of a character class one after another for every character of the
 # text. A cheap first test decides most characters: ASCII never changes under NFKC, and
 # whitespace beyond Latin-1 lies between U+1680 and U+3000.
-_MAY_CHANGE = f"[[^\\x{{0}}-\\x{{7F}}]&&[^{_ranges(_NFKC_STABLE)}]]"
+_FOLDED = f"\\x{{FF01}}-\\x{{FF5E}}{_singles(_FOLD_FROM[94:] + _ELLIPSIS)}"
+_FOLDABLE = f"[[\\x{{A0}}-\\x{{FF5E}}]&&[{_FOLDED}]]"
+_MAY_CHANGE = f"[[^\\x{{0}}-\\x{{7F}}]&&[^{_ranges(_NFKC_STABLE)}{_FOLDED}]]"
 _LATIN_1 = "".join(c for c in WHITESPACE if ord(c) < 256)
 _BEYOND = "".join(c for c in WHITESPACE if ord(c) >= 256)
 _WS = f"[{_singles(_LATIN_1)}[\\x{{1680}}-\\x{{3000}}&&[{_singles(_BEYOND)}]]]"
@@ -104,20 +116,28 @@ _nfkc_batch = _nfkc_batch.asNondeterministic()
 _nfkc_list_batch = _nfkc_list_batch.asNondeterministic()
 
 
-def may_change_under_nfkc(col: Column) -> Column:
-    """Conservative test: false only for strings that NFKC leaves as they are."""
+def _needs_tables(col: Column) -> Column:
+    """Conservative test: false only where ``_fold`` does all that NFKC would do.
+
+    A mark that could combine with a folded character is itself reason enough.
+    """
     return F.rlike(col, F.lit(_MAY_CHANGE))
 
 
+def _fold(col: Column) -> Column:
+    folded = F.replace(F.translate(col, _FOLD_FROM, _FOLD_TO), F.lit(_ELLIPSIS), F.lit("..."))
+    return F.when(F.rlike(col, F.lit(_FOLDABLE)), folded).otherwise(col)
+
+
 def nfkc(col: Column) -> Column:
     """Unicode NFKC; null stays null."""
-    return F.coalesce(_nfkc_batch(F.when(may_change_under_nfkc(col), col)), col)
+    return F.coalesce(_nfkc_batch(F.when(_needs_tables(col), col)), _fold(col))
 
 
 def nfkc_array(col: Column) -> Column:
     """Unicode NFKC of every string in an array; null lists and elements stay null."""
-    needed = F.exists(col, may_change_under_nfkc)
-    return F.coalesce(_nfkc_list_batch(F.when(needed, col)), col)
+    needed = F.when(F.exists(col, _needs_tables), col)
+    return F.coalesce(_nfkc_list_batch(needed), F.transform(col, _fold))
 
 
 def strip(col: Column) -> Column:

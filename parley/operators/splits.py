@@ -121,6 +121,7 @@ def head_per_split(
 ) -> DataFrame:
     """The first ``n`` rows of each split.
 
+    In stored order, files behind the last one needed are skipped altogether.
     Small ``n``: a top-n window, which no map task answers with more than ``n``
     rows per split. Large ``n`` over whole-number order columns: the order value
     at rank ``n`` is found by counting and rows are filtered in place, without
@@ -129,6 +130,8 @@ def head_per_split(
     """
     df = with_split(df) if by == SPLIT else df
     order_by = list(order_by)
+    if order_by == [POSITION]:
+        df = _head_files(df, n, by)
     if n <= _WINDOW_ROWS:
         return _top_n(df, n, [by], order_by)
     if all(isinstance(df.schema[c].dataType, _WHOLE_NUMBERS) for c in order_by):
@@ -138,6 +141,26 @@ def head_per_split(
     return _top_n(salted.drop("_salt"), n, [by], order_by)
 
 
+def _head_files(df: DataFrame, n: int, by: str) -> DataFrame:
+    """The files that hold the first ``n`` rows of each split in stored order.
+
+    Rows are counted per file, without reading a data column; the files' counts
+    are then added up in order. The filter on the file name keeps all later
+    files from being opened.
+    """
+    file = F.col(f"{POSITION}.file")
+    counted = df.groupBy(F.col(by).alias("by"), file.alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    so_far = F.sum("rows").over(Window.partitionBy("by").orderBy("file"))
+    enough = counted.withColumn("so_far", so_far).where(F.col("so_far") >= n)
+    last = {r["by"]: r["last"] for r in enough.groupBy("by").agg(F.min("file").alias("last")).collect()}
+    if not last:
+        return df
+    keep = F.col(by).isNull() | ~F.col(by).isin(*last)
+    for name, path in last.items():
+        keep = keep | ((F.col(by) == name) & (file <= path))
+    return df.where(keep)
+
+
 def _salts(df: DataFrame) -> int:
     return max(2, math.isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
@@ -169,3 +192,14 @@ def select_eval_split(
         if not part.select(SPLIT).isEmpty():
             return part if max_rows is None else head_per_split(part, max_rows, order_by)
     raise ValueError("the dataset has neither validation nor test rows")
+
+
+def pick_example(
+    df: DataFrame, split: str = TRAIN, i: int = 0, order_by: Sequence[str] = (POSITION,)
+) -> DataFrame:
+    """Row ``i`` of a split, or of the first split if that one does not exist."""
+    df = with_split(df)
+    found = F.when(F.max(F.col(SPLIT) == split), F.lit(split)).otherwise(F.min(SPLIT))
+    chosen = df.select(SPLIT).agg(found).first()[0]
+    first = head_per_split(df.where(F.col(SPLIT) == chosen), i + 1, order_by)
+    return first.orderBy(*order_by).offset(i).limit(1)

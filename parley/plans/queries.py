@@ -43,7 +43,7 @@ from parley.operators.profile import (
     token_stats,
 )
 from parley.operators.sft import to_training_text, tokenize_sft, training_plan
-from parley.operators.splits import head_per_split, select_eval_split, split_dataset
+from parley.operators.splits import head_per_split, pick_example, select_eval_split, split_dataset
 from parley.operators.turns import fold_turns, unfold_turns
 from parley.plans.inputs import (
     NAMES,
@@ -60,7 +60,6 @@ from parley.plans.workflow import run_workflow
 from parley.session import scratch_path
 from parley.sources.datasets import (
     list_splits,
-    pick_example,
     read_dataset,
     read_jsonl,
     read_report,

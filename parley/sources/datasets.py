@@ -82,19 +82,6 @@ def split_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def pick_example(
-    df: DataFrame,
-    split: str = TRAIN,
-    i: int = 0,
-    order_by: Sequence[str | Column] = (POSITION,),
-) -> DataFrame:
-    """Row ``i`` of a split, or of the first split if that one does not exist."""
-    df = with_split(df)
-    found = F.when(F.max(F.col(SPLIT) == split), F.lit(split)).otherwise(F.min(SPLIT))
-    chosen = df.select(SPLIT).agg(found).scalar()
-    return df.where(F.col(SPLIT) == chosen).orderBy(*order_by).offset(i).limit(1)
-
-
 def read_jsonl(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None
 ) -> DataFrame:

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from parley.operators.splits import head_per_split
+from parley.operators.splits import head_per_split, pick_example
 from parley.session import materialize, scratch_path
 from parley.sources import datasets as d
 
@@ -37,14 +37,20 @@ def test_stored_position(spark, path):
     df = d.read_dataset(spark, path, position=True)
     first = head_per_split(df, 30)
     assert sorted(r["id"] for r in first.collect()) == list(range(30))
-    assert d.pick_example(df, i=42).first()["id"] == 42
+    assert pick_example(df, i=42).first()["id"] == 42
+    assert pick_example(df, i=100).first() is None
+    split = d.read_dataset(spark, path, position=True).withColumn("split", F.when(F.col("id") < 55, "a").otherwise("b"))
+    got = head_per_split(split, 12)
+    assert sorted(r["id"] for r in got.collect()) == [*range(12), *range(55, 67)]
+    first = head_per_split(df, 5)
+    assert "DataFilters: [(file_path" in first._jdf.queryExecution().executedPlan().toString()
 
 
 def test_pick_example_falls_back_to_the_first_split(spark):
     df = spark.range(6).withColumn("split", F.when(F.col("id") % 2 == 0, "b").otherwise("a"))
-    assert d.pick_example(df, "b", 1, ["id"]).first()["id"] == 2
-    assert d.pick_example(df, "train", 2, ["id"]).first()["id"] == 5
-    assert d.pick_example(df, "train", 3, ["id"]).first() is None
+    assert pick_example(df, "b", 1, ["id"]).first()["id"] == 2
+    assert pick_example(df, "train", 2, ["id"]).first()["id"] == 5
+    assert pick_example(df, "train", 3, ["id"]).first() is None
 
 
 def test_jsonl(spark, path):

@@ -34,6 +34,19 @@ def test_stable_ranges_never_change_under_nfkc():
             assert unicodedata.combining(c) == 0 and c not in seconds, hex(ord(c))
 
 
+def test_foldable_characters_fold_anywhere():
+    for a, b in zip(t._FOLD_FROM, t._FOLD_TO, strict=True):
+        assert unicodedata.normalize("NFKC", a) == b and b.isascii()
+    assert unicodedata.normalize("NFKC", t._ELLIPSIS) == "..."
+    assert len(t._FOLD_FROM) > 94
+
+
+def test_ordinary_chinese_needs_no_batch_function(spark):
+    values = ["“你好……”，他说：ＯＫ！\u3000（一）", "plain", "naïve\xa0été", "ﬁ", "Ａ\u0301"]
+    assert apply(spark, t._needs_tables, values) == [False, False, False, True, True]
+    assert apply(spark, t.nfkc, values) == [unicodedata.normalize("NFKC", v) for v in values]
+
+
 GOLDEN = [
     ("　ＡＢＣ①ﬁ \t x​\n\n\n\ny \x1c", "ABC1fi x\n\ny"),
     (None, ""),
@@ -62,7 +75,7 @@ def expected_text(value: str) -> str:
     return re.sub("\n\n\n+", "\n\n", value).strip()
 
 
-texts = st.text(st.sampled_from("aȩ́́e 　\t\n\n\n\r​﻿\xa0\x1c\x85ＡﬁΑ中가ᅡ゙か① "), max_size=14)
+texts = st.text(st.sampled_from("…\u2003aȩ́́e 　\t\n\n\n\r​﻿\xa0\x1c\x85ＡﬁΑ中가ᅡ゙か① "), max_size=14)
 
 
 @settings(max_examples=8, deadline=None)
