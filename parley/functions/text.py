@@ -35,6 +35,16 @@ _NFKC_STABLE = (
     (0x048A, 0x052F),
     (0x2012, 0x2016),
     (0x2018, 0x2023),
+    (0x200B, 0x200F),
+    (0xFEFF, 0xFEFF),
+    (0xFE0F, 0xFE0F),
+    (0x0391, 0x03A1),
+    (0x03A3, 0x03A9),
+    (0x03B1, 0x03C9),
+    (0x05D0, 0x05EA),
+    (0x0621, 0x063A),
+    (0x0641, 0x064A),
+    (0x2500, 0x27BF),
     (0x0080, 0x009F),
     (0x00A1, 0x00A7),
     (0x00A9, 0x00A9),
@@ -72,12 +82,15 @@ def _ranges(pairs: tuple[tuple[int, int], ...]) -> str:
     return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in pairs)
 
 
-# Java tests the parts of a character class one after another for every character of the
-# text. A cheap first test decides most characters: ASCII never changes under NFKC, and
-# whitespace beyond Latin-1 lies between U+1680 and U+3000.
-_FOLDED = f"\\x{{FF01}}-\\x{{FF5E}}{_singles(_FOLD_FROM[94:] + _ELLIPSIS)}"
-_FOLDABLE = f"[[\\x{{A0}}-\\x{{FF5E}}]&&[{_FOLDED}]]"
-_MAY_CHANGE = f"[[^\\x{{0}}-\\x{{7F}}]&&[^{_ranges(_NFKC_STABLE)}{_FOLDED}]]"
+_FOLDED = ((0xFF01, 0xFF5E), *((ord(c), ord(c)) for c in _FOLD_FROM[94:] + _ELLIPSIS))
+_FREQUENT = ((0x00, 0x7F), *_FOLDED[:1], (0x3000, 0x3029), *_NFKC_STABLE[:2])
+_FOLDABLE = f"[[\\x{{A0}}-\\x{{FF5E}}]&&[{_ranges(_FOLDED)}]]"
+# The whole text, run by run, in one pass from its start; much faster in Java than a search
+# for the first other character. Runs of frequent characters meet the shorter class only.
+_UNCHANGING = (
+    f"\\A(?:[{_ranges(_FREQUENT)}]++|[\\x{{0}}-\\x{{7F}}{_ranges(_NFKC_STABLE + _FOLDED)}]++)*+\\z"
+)
+# Whitespace beyond Latin-1 lies between U+1680 and U+3000; Java tests a class part by part.
 _LATIN_1 = "".join(c for c in WHITESPACE if ord(c) < 256)
 _BEYOND = "".join(c for c in WHITESPACE if ord(c) >= 256)
 _WS = f"[{_singles(_LATIN_1)}[\\x{{1680}}-\\x{{3000}}&&[{_singles(_BEYOND)}]]]"
@@ -120,13 +133,18 @@ def _needs_tables(col: Column) -> Column:
     """Conservative test: false only where ``_fold`` does all that NFKC would do.
 
     A mark that could combine with a folded character is itself reason enough.
+    Pure ASCII, as many bytes as characters, is not even searched.
     """
-    return F.rlike(col, F.lit(_MAY_CHANGE))
+    return _beyond_ascii(col) & ~F.rlike(col, F.lit(_UNCHANGING))
+
+
+def _beyond_ascii(col: Column) -> Column:
+    return F.octet_length(col) > F.length(col)
 
 
 def _fold(col: Column) -> Column:
     folded = F.replace(F.translate(col, _FOLD_FROM, _FOLD_TO), F.lit(_ELLIPSIS), F.lit("..."))
-    return F.when(F.rlike(col, F.lit(_FOLDABLE)), folded).otherwise(col)
+    return F.when(_beyond_ascii(col) & F.rlike(col, F.lit(_FOLDABLE)), folded).otherwise(col)
 
 
 def nfkc(col: Column) -> Column:
