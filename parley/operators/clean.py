@@ -108,6 +108,13 @@ def side_fields(df: DataFrame) -> list[str]:
     ]
 
 
+def kept_columns(df: DataFrame, keep: Sequence[str] = (), keep_other_fields: bool = False) -> list[str]:
+    """Columns that stay beside the messages: split, position, ``keep``, and scalars if asked."""
+    kept = [c for c in (SPLIT, POSITION) if c in df.columns]
+    others = side_fields(df) if keep_other_fields else []
+    return list(dict.fromkeys([*kept, *keep, *others]))
+
+
 def convert_chat(
     df: DataFrame,
     keep_other_fields: bool = False,
@@ -119,10 +126,7 @@ def convert_chat(
     ``keep`` names columns that stay in any case, such as a row id; split and
     position always do.
     """
-    kept = [c for c in (SPLIT, POSITION) if c in df.columns]
-    kept += [c for c in keep if c not in kept]
-    if keep_other_fields:
-        kept += [c for c in side_fields(df) if c not in kept]
+    kept = kept_columns(df, keep, keep_other_fields)
     # A filter would be moved below the projection and build the messages twice;
     # exploding a list of one or none builds them once.
     paired = F.filter(F.array(to_messages(df, null_policy)), is_chat_pair)

@@ -105,13 +105,16 @@ def _whole(col: Column) -> Column:
     return F.coalesce(col.cast("bigint"), F.lit(_LOWEST))
 
 
-def order_bounds(df: DataFrame, group: Column, order: Column) -> dict[str, Bounds]:
-    """Bounds of every non-null group, in one aggregation."""
+def order_bounds(
+    df: DataFrame, group: Column, order: Column, at_most: int = 1024
+) -> dict[str, Bounds]:
+    """Bounds of every non-null group, in one aggregation; one group more than ``at_most`` if there are more."""
     value = _whole(order)
     found = (
         df.groupBy(group.alias("_group"))
         .agg(F.min(value), F.max(value), F.count(F.lit(1)))
         .where(F.col("_group").isNotNull())
+        .limit(at_most + 1)
     )
     return {r[0]: (r[1], r[2], r[3]) for r in found.collect()}
 

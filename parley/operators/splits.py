@@ -19,13 +19,16 @@ from parley.constants import (
     VALIDATION,
     VALIDATION_FRACTION,
 )
-from parley.operators.ranks import Cut, order_bounds, order_cuts, within_cut
+from parley.operators.ranks import Bounds, Cut, order_bounds, order_cuts, within_cut
 from parley.sources.datasets import POSITION, SPLIT, list_splits, with_split
 
 log = logging.getLogger(__name__)
 
 # Up to this many rows per split a plain top-n window is cheapest: no task emits more.
 _WINDOW_ROWS = 1_000
+# Cuts are one comparison per split in the filter; more splits than this are ranked in windows,
+# which then spread over many tasks anyway.
+_CUT_SPLITS = 64
 _WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -135,7 +138,9 @@ def head_per_split(
     if n <= _WINDOW_ROWS:
         return _top_n(df, n, [by], order_by)
     if all(isinstance(df.schema[c].dataType, _WHOLE_NUMBERS) for c in order_by):
-        return _head_by_cut(df, n, order_by, by)
+        bounds = order_bounds(df, F.col(by), F.col(order_by[0]), _CUT_SPLITS)
+        if len(bounds) <= _CUT_SPLITS:
+            return _head_by_cut(df, n, order_by, by, bounds)
     salt = F.pmod(F.xxhash64(*order_by), F.lit(_salts(df)))
     salted = _top_n(df.withColumn("_salt", salt), n, [by, "_salt"], order_by)
     return _top_n(salted.drop("_salt"), n, [by], order_by)
@@ -152,8 +157,9 @@ def _head_files(df: DataFrame, n: int, by: str) -> DataFrame:
     counted = df.groupBy(F.col(by).alias("by"), file.alias("file")).agg(F.count(F.lit(1)).alias("rows"))
     so_far = F.sum("rows").over(Window.partitionBy("by").orderBy("file"))
     enough = counted.withColumn("so_far", so_far).where(F.col("so_far") >= n)
-    last = {r["by"]: r["last"] for r in enough.groupBy("by").agg(F.min("file").alias("last")).collect()}
-    if not last:
+    last_file = enough.groupBy("by").agg(F.min("file").alias("last")).limit(_CUT_SPLITS + 1)
+    last = {r["by"]: r["last"] for r in last_file.collect()}
+    if not 0 < len(last) <= _CUT_SPLITS:
         return df
     keep = F.col(by).isNull() | ~F.col(by).isin(*last)
     for name, path in last.items():
@@ -170,9 +176,10 @@ def _top_n(df: DataFrame, n: int, by: list[str], order_by: list[str]) -> DataFra
     return df.withColumn("_nth", nth).where(F.col("_nth") <= n).drop("_nth")
 
 
-def _head_by_cut(df: DataFrame, n: int, order_by: list[str], by: str) -> DataFrame:
+def _head_by_cut(
+    df: DataFrame, n: int, order_by: list[str], by: str, bounds: dict[str, Bounds]
+) -> DataFrame:
     order = [F.col(c) for c in order_by]
-    bounds = order_bounds(df, F.col(by), order[0])
     found = order_cuts(df, F.col(by), order, {name: [n] for name in bounds}, bounds)
     cuts = {name: cut for name, (cut,) in found.items() if cut is not None}
     if not cuts:

@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from parley.constants import MAX_LENGTH, PROFILE_ROWS, SEED, TEST_FRACTION, VALIDATION_FRACTION
-from parley.functions.messages import ChatTemplate
+from parley.functions.messages import ChatTemplate, content_key, is_chat_pair, to_messages
 from parley.functions.tokens import TokenizerFactory
 from parley.operators.clean import (
-    convert_chat,
+    kept_columns,
     normalize_rows,
     observe_rows,
     remove_duplicates,
@@ -52,16 +53,21 @@ def clean(
 ) -> tuple[DataFrame, dict]:
     """Null filter, normalisation, deduplication, conversion: one plan, one shuffle.
 
+    The messages are built once, before deduplication, and take the place of
+    the raw columns: they give the key, and nothing else crosses the shuffle.
     Also returns the observations that count each stage's rows as they pass.
     """
     seen = {}
     df, seen["raw"] = observe_rows(with_split(df), "raw")
     df, seen["no_null"] = observe_rows(remove_null(df), "no_null")
     df, seen["normalized"] = observe_rows(normalize_rows(df), "normalized")
-    df, seen["deduplicated"] = observe_rows(remove_duplicates(df, order_by), "deduplicated")
-    df, seen["chat"] = observe_rows(
-        convert_chat(df, keep_other_fields, [*keep, *[c for c in order_by if c not in keep]]), "chat"
+    kept = kept_columns(df, [*keep, *order_by], keep_other_fields)
+    df = df.select(*kept, to_messages(df).alias("messages"))
+    messages = F.col("messages")
+    df, seen["deduplicated"] = observe_rows(
+        remove_duplicates(df, order_by, key=content_key(messages)), "deduplicated"
     )
+    df, seen["chat"] = observe_rows(df.where(is_chat_pair(messages)), "chat")
     return df, seen
 
 

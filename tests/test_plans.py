@@ -9,6 +9,7 @@ from parley.functions.tokens import token_count
 from parley.operators.clean import convert_chat, normalize_rows, remove_duplicates, remove_null
 from parley.operators.profile import preview
 from parley.operators.splits import head_per_split, split_dataset
+from parley.plans.workflow import clean
 from parley.plans.inputs import table, untidy_conversations
 
 
@@ -37,6 +38,13 @@ def test_dedup_drops_copies_before_the_shuffle(spark, sf_dir):
     assert steps.count("WindowGroupLimit") == 2 and steps.count("Exchange") == 1
 
 
+def test_workflow_cleans_with_one_shuffle(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    steps = plan(clean(docs, ["doc_id"])[0])
+    assert steps.count("Exchange") == 1 and steps.count("ArrowEvalPython") == 2
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in steps
+
+
 def test_exact_split_and_large_head_shuffle_nothing(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     assert "Exchange" not in plan(split_dataset(orders, "o_orderkey"))

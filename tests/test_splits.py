@@ -101,6 +101,12 @@ def test_head_per_split(spark, monkeypatch, n, way):
     assert len(rows) == len(set(rows)) and {tuple(r) for r in rows} == brute_force_head(n)
 
 
+def test_head_of_many_splits(spark, monkeypatch):
+    monkeypatch.setattr(splits, "_WINDOW_ROWS", 0)
+    df = spark.range(3000).withColumn("split", (F.col("id") % 100).cast("string"))
+    assert sorted(r["id"] for r in head_per_split(df, 3, ["id"]).collect()) == list(range(300))
+
+
 def test_cuts_over_the_whole_range_of_numbers(spark, monkeypatch):
     monkeypatch.setattr(ranks, "_FETCH_ROWS", 1)
     values = sorted({-(2**63), 2**63 - 1, *(s * 3**k for k in range(39) for s in (1, -1)), 0})

@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from parley.operators.clean import convert_chat, normalize_rows, remove_duplicates, remove_null
 from parley.plans.inputs import untidy_conversations
-from parley.plans.workflow import run_workflow
+from parley.plans.workflow import clean, run_workflow
 from parley.session import scratch_path
+from parley.sources.datasets import with_split
 from parley.streaming.clean import clean_stream
 
 
@@ -22,6 +26,17 @@ def test_workflow(spark, sf_dir):
     assert done.length_histogram.count() == 100
 
 
+def test_workflow_equals_the_single_steps(spark, sf_dir):
+    raw = untidy_conversations(spark, sf_dir).withColumn("note", F.lit("ｎ"))
+    together = clean(raw, ["conv_id"], keep_other_fields=True)[0]
+    unique = remove_duplicates(normalize_rows(remove_null(with_split(raw))), ["conv_id"])
+    steps = convert_chat(unique, keep_other_fields=True)
+    assert set(together.columns) == {"split", "conv_id", "note", "messages"}
+    columns = sorted(together.columns)
+    a, b = together.select(*columns), steps.select(*columns)
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and not a.isEmpty()
+
+
 def test_skipped_stages(spark, sf_dir):
     raw = untidy_conversations(spark, sf_dir)
     done = run_workflow(raw, ["conv_id"], ["conv_id"], skip_profile=True, skip_training=True)
