@@ -20,7 +20,13 @@ _BUCKET_BITS = 12
 _FETCH_ROWS = 4096
 _LOWEST = -(2**63)
 
-Cut = tuple[int, ...]
+
+class Cut(tuple):
+    """Order values of the last row before a cut; ``tied`` if rows behind it share them."""
+
+    tied = False
+
+
 # Lowest and highest first order value of a group, and its number of rows.
 Bounds = tuple[int, int, int]
 
@@ -31,7 +37,7 @@ class _Search:
 
     group: str
     rank: int
-    fixed: Cut = ()
+    fixed: tuple[int, ...] = ()
     low: int | None = None
     high: int | None = None
     cut: Cut | None = None
@@ -79,7 +85,8 @@ def order_cuts(
     ``order`` columns are whole numbers, compared one after another; ``bounds``
     come from ``order_bounds`` or are known beforehand. A rank at or beyond the
     group's size gives None: there is nothing to cut. Rows that share all order
-    values with others cannot be told apart; a cut through such rows is an error.
+    values with others cannot be told apart: a cut that would have to part them
+    comes after all of them and has ``tied`` set.
     """
     slim = df.select(
         group.alias("_group"), *[_whole(o).alias(f"_o{i}") for i, o in enumerate(order)]
@@ -88,7 +95,7 @@ def order_cuts(
     for g, rs in ranks.items():
         low, high, rows = bounds[g]
         for r in rs:
-            cut = None if 0 < r < rows else ()
+            cut = None if 0 < r < rows else Cut()
             searches[g, r] = _Search(g, r, low=low, high=high, cut=cut, few=rows <= _FETCH_ROWS)
     todo = [s for s in searches.values() if s.cut is None]
     while todo:
@@ -108,12 +115,11 @@ def _whole(col: Column) -> Column:
 def order_bounds(
     df: DataFrame, group: Column, order: Column, at_most: int = 1024
 ) -> dict[str, Bounds]:
-    """Bounds of every non-null group, in one aggregation; one group more than ``at_most`` if there are more."""
+    """Bounds of every group, in one aggregation; one group more than ``at_most`` if there are more."""
     value = _whole(order)
     found = (
         df.groupBy(group.alias("_group"))
         .agg(F.min(value), F.max(value), F.count(F.lit(1)))
-        .where(F.col("_group").isNotNull())
         .limit(at_most + 1)
     )
     return {r[0]: (r[1], r[2], r[3]) for r in found.collect()}
@@ -144,18 +150,13 @@ def _fetch(slim: DataFrame, searches: list[_Search], levels: int) -> None:
         return
     step = _Pass(searches)
     names = [f"_o{i}" for i in range(levels)]
-    rows: dict[int, list[Cut]] = {}
+    rows: dict[int, list[tuple[int, ...]]] = {}
     for r in step.rows(slim).select("_node", *names).collect():
         rows.setdefault(r[0], []).append(tuple(r[1:]))
     for s in searches:
         values = sorted(rows[step.nodes.index(s.node())])
-        cut = values[s.rank - 1]
-        if s.rank < len(values) and values[s.rank] == cut:
-            raise ValueError(_TIED.format(cut))
-        s.cut = cut
-
-
-_TIED = "the order columns do not tell rows apart: several have the values {}"
+        s.cut = Cut(values[s.rank - 1])
+        s.cut.tied = s.rank < len(values) and values[s.rank] == s.cut
 
 
 def _narrow(slim: DataFrame, searches: list[_Search], levels: int) -> None:
@@ -184,11 +185,12 @@ def _narrow(slim: DataFrame, searches: list[_Search], levels: int) -> None:
         s.high = min(s.high, ((b + 1) << shifts[i]) - 1)
         s.few = rows <= _FETCH_ROWS
         if s.rank == rows:
-            s.cut = (*s.fixed, s.high)
+            s.cut = Cut((*s.fixed, s.high))
         elif s.low == s.high and not s.few:
             s.fixed, s.low, s.high = (*s.fixed, s.low), None, None
             if len(s.fixed) == levels:
-                raise ValueError(_TIED.format(s.fixed))
+                s.cut = Cut(s.fixed)
+                s.cut.tied = True
 
 
 def within_cut(order: Sequence[Column], cut: Cut) -> Column:

@@ -110,6 +110,9 @@ def split_dataset(
     order = _hash_words(digest)
     ends = [n_test, n_test + n_validation]
     cuts = order_cuts(base, F.lit("all"), order, {"all": ends}, {"all": (0, 16**15 - 1, rows)})["all"]
+    for cut in cuts:
+        if cut is not None and cut.tied:
+            raise ValueError(f"the key {key} does not identify a row: several share the one at a cut")
 
     def upto(end: int, cut: Cut | None) -> Column:
         return F.lit(end > 0) if cut is None else within_cut(order, cut)
@@ -124,23 +127,26 @@ def head_per_split(
 ) -> DataFrame:
     """The first ``n`` rows of each split.
 
-    In stored order, files behind the last one needed are skipped altogether.
-    Small ``n``: a top-n window, which no map task answers with more than ``n``
-    rows per split. Large ``n`` over whole-number order columns: the order value
-    at rank ``n`` is found by counting and rows are filtered in place, without
-    any shuffle. Large ``n`` over other columns: two rounds of top-n, first in
-    salted groups, so that no task receives a whole split.
+    Whole-number order columns: the order value at rank ``n`` is found by
+    counting, and rows are filtered in place, at the scan where possible, without
+    any sort or shuffle. In stored order: files behind the last one needed are
+    not opened. What then is left to rank, as with other columns, goes through a
+    top-n window, which no map task answers with more than ``n`` rows per split;
+    for large ``n`` through two, first in salted groups, so that no task receives
+    a whole split.
     """
     df = with_split(df) if by == SPLIT else df
     order_by = list(order_by)
     if order_by == [POSITION]:
         df = _head_files(df, n, by)
-    if n <= _WINDOW_ROWS:
-        return _top_n(df, n, [by], order_by)
-    if all(isinstance(df.schema[c].dataType, _WHOLE_NUMBERS) for c in order_by):
+    elif n > 0 and all(isinstance(df.schema[c].dataType, _WHOLE_NUMBERS) for c in order_by):
         bounds = order_bounds(df, F.col(by), F.col(order_by[0]), _CUT_SPLITS)
         if len(bounds) <= _CUT_SPLITS:
-            return _head_by_cut(df, n, order_by, by, bounds)
+            df, exact = _head_by_cut(df, n, order_by, by, bounds)
+            if exact:
+                return df
+    if n <= _WINDOW_ROWS:
+        return _top_n(df, n, [by], order_by)
     salt = F.pmod(F.xxhash64(*order_by), F.lit(_salts(df)))
     salted = _top_n(df.withColumn("_salt", salt), n, [by, "_salt"], order_by)
     return _top_n(salted.drop("_salt"), n, [by], order_by)
@@ -178,16 +184,19 @@ def _top_n(df: DataFrame, n: int, by: list[str], order_by: list[str]) -> DataFra
 
 def _head_by_cut(
     df: DataFrame, n: int, order_by: list[str], by: str, bounds: dict[str, Bounds]
-) -> DataFrame:
+) -> tuple[DataFrame, bool]:
+    """Rows up to each split's cut, and whether these are exactly the first ``n``."""
     order = [F.col(c) for c in order_by]
+    exact = bounds.pop(None, None) is None
     found = order_cuts(df, F.col(by), order, {name: [n] for name in bounds}, bounds)
     cuts = {name: cut for name, (cut,) in found.items() if cut is not None}
+    exact = exact and not any(cut.tied for cut in cuts.values())
     if not cuts:
-        return df
-    keep = ~F.col(by).isin(*cuts)
+        return df, exact
+    keep = F.col(by).isNull() | ~F.col(by).isin(*cuts)
     for name, cut in cuts.items():
         keep = keep | ((F.col(by) == name) & within_cut(order, cut))
-    return df.where(keep)
+    return df.where(keep), exact
 
 
 def select_eval_split(

@@ -38,7 +38,7 @@ def test_split_does_not_depend_on_partitions(spark):
 
 def test_exact_split_needs_a_telling_key(spark):
     df = spark.range(9000).withColumn("key", F.lit("same"))
-    with pytest.raises(ValueError, match="do not tell rows apart"):
+    with pytest.raises(ValueError, match="does not identify a row"):
         split_dataset(df, "key")
 
 
@@ -91,6 +91,7 @@ def brute_force_head(n):
 def test_head_per_split(spark, monkeypatch, n, way):
     monkeypatch.setattr(ranks, "_FETCH_ROWS", 8)
     monkeypatch.setattr(splits, "_WINDOW_ROWS", 10**6 if way == "window" else 0)
+    monkeypatch.setattr(splits, "_CUT_SPLITS", 64 if way == "cut" else 0)
     df = spark.createDataFrame(ROWS, "split string, x bigint, y bigint").repartition(5)
     if way == "salted":
         df = df.withColumn("x", F.struct("x"))
@@ -118,10 +119,18 @@ def test_cuts_over_the_whole_range_of_numbers(spark, monkeypatch):
         assert values[rank - 1] <= cut[0] < values[rank]
 
 
-def test_tied_order_is_an_error(spark):
-    df = spark.range(5000).select(F.lit("s").alias("split"), F.lit(1).alias("x"))
-    with pytest.raises(ValueError, match="do not tell rows apart"):
-        head_per_split(df, 2000, ["x"])
+@pytest.mark.parametrize("n", [1, 700, 2000])
+def test_tied_order_still_gives_n_rows(spark, monkeypatch, n):
+    monkeypatch.setattr(ranks, "_FETCH_ROWS", 8)
+    df = spark.range(6000).select(F.lit("s").alias("split"), "id", (F.col("id") % 3).alias("x"))
+    rows = head_per_split(df, n, ["x"]).collect()
+    assert len({r["id"] for r in rows}) == n and {r["x"] for r in rows} == {0}
+
+
+def test_rows_without_a_split_are_a_split_too(spark):
+    df = spark.range(100).withColumn("split", F.when(F.col("id") % 2 == 0, "s"))
+    rows = sorted(r["id"] for r in head_per_split(df, 3, ["id"]).collect())
+    assert rows == [0, 1, 2, 3, 4, 5]
 
 
 def test_select_eval_split(spark):
