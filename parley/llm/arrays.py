@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that numpy steps hold at a time; a single longer text is taken alone.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 20
 
 _ODD = 0x9E3779B97F4A7C15
 _BASE = 0x100000001B3
