@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Chunks of text, and words of them, whose ids are remembered at a time, beside those of the texts in hand.
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 200_000
 #: Characters of text that are encoded together; a longer text is taken alone.
 TOGETHER = 1 << 21
 
@@ -259,21 +259,25 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", key: str = "doc_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.load(path)
         for batch in batches:
-            ids = encoder.encode([t or "" for t in batch.column(1).to_pylist()])
-            texts = [encoder.decode(i) for i in ids]
-            columns = [
-                batch.column(0),
-                pa.array([len(i) // 4 for i in ids], pa.int64()),
-                pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
-                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
-            ]
-            names = ["key", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if keep:
-                numbers = [list(memoryview(i).cast("I")) if i else [] for i in ids]
-                columns += [pa.array(numbers, pa.list_(pa.int32())), pa.array(texts, pa.string())]
-                names += ["ids", "decoded"]
-            yield pa.record_batch(columns, names)
-
+            at = 0
+            for texts in _together([t or "" for t in batch.column(1).to_pylist()]):
+                # What a few texts give goes out at once, so a batch of any size takes little memory.
+                ids = encoder.encode(texts)
+                decoded = [encoder.decode(i) for i in ids]
+                columns = [
+                    batch.column(0).slice(at, len(texts)),
+                    pa.array([len(i) // 4 for i in ids], pa.int64()),
+                    pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
+                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string()),
+                ]
+                if keep:
+                    ends = np.cumsum([0] + [len(i) // 4 for i in ids]).astype(np.int32)
+                    values = np.frombuffer(b"".join(ids), "<i4")
+                    columns += [pa.ListArray.from_arrays(ends, values), pa.array(decoded, pa.string())]
+                at += len(texts)
+                yield pa.record_batch(columns, names)
+
+    names = ["key", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if keep else [])]
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     return rows.mapInArrow(run, ", ".join([f"key {kind}", *fields])).withColumnRenamed("key", key)
