@@ -314,9 +314,9 @@ def content_key(messages: Column) -> Column:
 
 def row_key(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """SHA-1 of all non-blank string columns, for rows that hold no messages."""
-    names = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    names = columns if columns is not None else [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     parts = [
-        F.when(strip(F.col(n)) != "", F.concat(F.lit(f"{n}:"), compact_text(F.col(n)))) for n in names
+        F.when(strip(F.col(f"`{n}`")) != "", F.concat(F.lit(f"{n}:"), compact_text(F.col(f"`{n}`")))) for n in names
     ]
     return F.sha1(F.concat_ws("\n", *parts)) if parts else F.sha1(F.lit(""))
 

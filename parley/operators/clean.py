@@ -17,7 +17,7 @@ from parley.functions.messages import (
     to_messages,
 )
 from parley.functions.text import nfkc, nfkc_array, tidy
-from parley.sources.datasets import POSITION, SPLIT, data_fields, with_split
+from parley.sources.datasets import POSITION, SPLIT, data_fields, named, with_split
 
 _LIST_COLUMNS = ("messages", "conversations")
 _LIST_TEXTS = ("content", "value")
@@ -49,9 +49,9 @@ def normalize_rows(df: DataFrame) -> DataFrame:
     for f in data_fields(df):
         kind = f.dataType
         if isinstance(kind, T.StringType):
-            changes[f.name] = tidy(nfkc(F.col(f.name)))
+            changes[f.name] = tidy(nfkc(named(f.name)))
         elif f.name in _LIST_COLUMNS and isinstance(kind, T.ArrayType):
-            changes[f.name] = _normalize_list(F.col(f.name), kind.elementType)
+            changes[f.name] = _normalize_list(named(f.name), kind.elementType)
     return df.withColumns(changes) if changes else df
 
 

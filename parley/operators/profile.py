@@ -16,7 +16,6 @@ from parley.constants import (
     HISTOGRAM_BINS,
     PREVIEW_COLUMNS,
     PREVIEW_ROWS,
-    PROFILE_ROWS,
 )
 from parley.functions.messages import ChatTemplate, render_chat, to_messages
 from parley.functions.text import char_length
@@ -78,13 +77,13 @@ def text_lengths(
     df: DataFrame,
     tokenizer: str | TokenizerFactory = "words",
     template: str | ChatTemplate = "tagged",
-    max_rows: int | None = PROFILE_ROWS,
+    max_rows: int | None = None,
     order_by: Sequence[str] = (POSITION,),
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Character and token length of each row's rendered chat; null if it has no messages.
 
-    ``max_rows`` looks at the first rows of each split only; None at all rows.
+    All rows count, unless ``max_rows`` asks for the first rows of each split only.
     """
     if max_rows is not None:
         df = head_per_split(df, max_rows, order_by)
@@ -117,7 +116,7 @@ def length_stats(lengths: DataFrame, column: str = "token_length", by: Sequence[
 
 def token_stats(
     df: DataFrame,
-    max_rows: int | None = PROFILE_ROWS,
+    max_rows: int | None = None,
     tokenizer: str | TokenizerFactory = "words",
     template: str | ChatTemplate = "tagged",
     order_by: Sequence[str] = (POSITION,),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.constants import MAX_LENGTH, TRAIN
+from parley.constants import TRAIN
 from parley.functions.messages import ChatTemplate, render_chat
 from parley.functions.tokens import TokenizerFactory, token_ids
 from parley.sources.datasets import SPLIT
@@ -29,18 +29,24 @@ def to_training_text(
 def tokenize_sft(
     df: DataFrame,
     tokenizer: str | TokenizerFactory = "codepoints",
-    max_length: int = MAX_LENGTH,
+    max_length: int | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Token ids of ``text``, cut at ``max_length``; every token is also a label."""
+    """Token ids of ``text``, cut at ``max_length`` if one is given; every token is also a label.
+
+    Code points are cut before they become ids.
+    """
     kept = _kept(df, keep)
-    ids = F.slice("_ids", 1, max_length)
-    return df.select(*kept, token_ids(F.col("text"), tokenizer).alias("_ids")).select(
-        *kept,
-        ids.alias("input_ids"),
-        ids.alias("labels"),
-        (F.size("_ids") > max_length).alias("was_truncated"),
-    )
+    text = F.col("text")
+    if max_length is None:
+        cut, long = token_ids(text, tokenizer), F.lit(False)
+    elif tokenizer == "codepoints":
+        cut, long = token_ids(F.substring(text, 1, max_length), tokenizer), F.length(text) > max_length
+    else:
+        cut, long = F.slice("_ids", 1, max_length), F.size("_ids") > max_length
+        df = df.select(*kept, token_ids(text, tokenizer).alias("_ids"))
+    ids = df.select(*kept, cut.alias("input_ids"), long.alias("was_truncated"))
+    return ids.select(*kept, "input_ids", F.col("input_ids").alias("labels"), "was_truncated")
 
 
 def training_plan(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 import math
 from collections.abc import Sequence
 
@@ -11,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.constants import (
-    EVAL_ROWS,
     SEED,
     TEST,
     TEST_FRACTION,
@@ -20,9 +18,7 @@ from parley.constants import (
     VALIDATION_FRACTION,
 )
 from parley.operators.ranks import Bounds, Cut, order_bounds, order_cuts, within_cut
-from parley.sources.datasets import POSITION, SPLIT, list_splits, with_split
-
-log = logging.getLogger(__name__)
+from parley.sources.datasets import POSITION, SPLIT, named, with_split
 
 # Up to this many rows per split a plain top-n window is cheapest: no task emits more.
 _WINDOW_ROWS = 1_000
@@ -41,9 +37,17 @@ def split_sizes(rows: int, test: float, validation: float) -> tuple[int, int, in
 
 
 def split_hash(key: Sequence[str], seed: int) -> Column:
-    """The hash that orders rows for splitting, as hex."""
-    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
-    return F.sha1(text)
+    """The hash that orders rows for splitting, as hex: of seed and key, joined by a colon.
+
+    The columns of a composite key are written with their lengths, so that no two keys read alike;
+    a null key has no colon and a null column no length.
+    """
+    values = [named(k).cast("string") for k in key]
+    if len(values) == 1:
+        return F.sha1(F.concat_ws(":", F.lit(str(seed)), values[0]))
+    told = [F.coalesce(F.concat_ws(":", F.length(v).cast("string"), v), F.lit("-")) for v in values]
+    sized = [F.when(v.isNull(), F.lit("-")).otherwise(t) for v, t in zip(values, told, strict=True)]
+    return F.sha1(F.concat_ws(":", F.lit(str(seed)), *sized))
 
 
 def _hash_words(digest: Column) -> list[Column]:
@@ -54,24 +58,26 @@ def _hash_words(digest: Column) -> list[Column]:
     ]
 
 
-def _base_split(df: DataFrame) -> tuple[DataFrame, int]:
-    """The rows to split and their number: ``train`` if there is one, else the first split.
+def _base_split(df: DataFrame, others: str) -> DataFrame | None:
+    """The rows to split: ``train`` if there is one, else the first split; None if all three splits are there.
 
-    Rows of other splits are left out; their number is logged. A frame that
-    has train, validation and test already comes with -1.
+    What becomes of rows of other splits, a null split among them, the caller must say if there are any.
+    Which of the three names there are, and the least of the others, is all that reaches the driver.
     """
     if SPLIT not in df.columns:
-        return df, df.count()
-    sizes = {r[SPLIT]: r["rows"] for r in list_splits(df).collect()}
-    if {TRAIN, VALIDATION, TEST} <= set(sizes):
-        return df, -1
-    if not sizes:
-        return df, 0
-    base = TRAIN if TRAIN in sizes else min(sizes)
-    dropped = sum(sizes.values()) - sizes[base]
-    if dropped:
-        log.warning("splitting %r only: %d rows of other splits are left out", base, dropped)
-    return df.where(F.col(SPLIT) == base), sizes[base]
+        return df
+    name = F.col(SPLIT)
+    has = [F.max((name == s).cast("int")).alias(s) for s in (TRAIN, VALIDATION, TEST)]
+    found = df.agg(*has, F.min(name).alias("least"), F.max(name).alias("most"), F.count_if(name.isNull()).alias("nulls")).first()
+    if all(found[s] for s in (TRAIN, VALIDATION, TEST)):
+        return None
+    base = TRAIN if found[TRAIN] else found["least"]
+    single = base is None or (found["least"] == found["most"] and not found["nulls"])
+    if single or others == "merge":
+        return df
+    if others == "drop":
+        return df.where(name == base)
+    raise ValueError(f"there are other splits beside {base!r}: say others='drop' or others='merge'")
 
 
 def split_dataset(
@@ -81,24 +87,30 @@ def split_dataset(
     validation: float = VALIDATION_FRACTION,
     seed: int = SEED,
     mode: str = "exact",
+    others: str = "error",
 ) -> DataFrame:
     """Assign each row to train, validation or test by a seeded hash of its key.
 
     The result does not depend on partitioning or task order. A frame that has
-    all three splits is returned as it is.
+    all three splits is returned as it is. Of a frame with several splits, ``train`` or
+    else the first one is split; ``others`` says whether rows of the others are
+    an error, are left out (``"drop"``) or are split with them (``"merge"``).
 
     ``mode="exact"`` gives exactly the asked sizes: the hash values at the two
     cut ranks are found by counting (see ``ranks``), then each row is compared
-    with them in place, without a shuffle. The key must identify a row. The
+    with them in place, without a shuffle. Rows with equal keys fall on the same side: a cut that
+    would part them comes after all of them, so sizes are exact where keys identify rows. The
     counting passes read only the key, so ``materialize`` an expensive input
     first. ``mode="hash"`` compares the hash with the fractions directly: one
-    pass, sizes right on average.
+    pass without any count, sizes right on average.
     """
     if mode not in ("exact", "hash"):
         raise ValueError(f"mode must be 'exact' or 'hash', not {mode!r}")
     key = [key] if isinstance(key, str) else list(key)
-    base, rows = _base_split(df)
-    if rows < 0:
+    if others not in ("error", "drop", "merge"):
+        raise ValueError(f"others must be 'error', 'drop' or 'merge', not {others!r}")
+    base = _base_split(df, others)
+    if base is None:
         return df
     digest = split_hash(key, seed)
     if mode == "hash":
@@ -106,13 +118,11 @@ def split_dataset(
         part = F.when(at < test, TEST).when(at < test + validation, VALIDATION).otherwise(TRAIN)
         return base.withColumn(SPLIT, part)
 
+    rows = base.count()
     _, n_validation, n_test = split_sizes(rows, test, validation)
     order = _hash_words(digest)
     ends = [n_test, n_test + n_validation]
     cuts = order_cuts(base, F.lit("all"), order, {"all": ends}, {"all": (0, 16**15 - 1, rows)})["all"]
-    for cut in cuts:
-        if cut is not None and cut.tied:
-            raise ValueError(f"the key {key} does not identify a row: several share the one at a cut")
 
     def upto(end: int, cut: Cut | None) -> Column:
         return F.lit(end > 0) if cut is None else within_cut(order, cut)
@@ -159,7 +169,7 @@ def _head_files(df: DataFrame, n: int, by: str) -> DataFrame:
     are then added up in order. The filter on the file name keeps all later
     files from being opened.
     """
-    file = F.col(f"{POSITION}.file")
+    file = F.struct(F.col(f"{POSITION}.part").alias("part"), F.col(f"{POSITION}.file").alias("file"))
     counted = df.groupBy(F.col(by).alias("by"), file.alias("file")).agg(F.count(F.lit(1)).alias("rows"))
     so_far = F.sum("rows").over(Window.partitionBy("by").orderBy("file"))
     enough = counted.withColumn("so_far", so_far).where(F.col("so_far") >= n)
@@ -169,7 +179,9 @@ def _head_files(df: DataFrame, n: int, by: str) -> DataFrame:
         return df
     keep = F.col(by).isNull() | ~F.col(by).isin(*last)
     for name, path in last.items():
-        keep = keep | ((F.col(by) == name) & (file <= path))
+        part, name_of = F.col(f"{POSITION}.part"), F.col(f"{POSITION}.file")
+        behind = (part > path["part"]) if path["part"] is not None else part.isNotNull()
+        keep = keep | ((F.col(by) == name) & ~F.coalesce(behind, F.lit(False)) & (~part.eqNullSafe(F.lit(path["part"])) | (name_of <= path["file"])))
     return df.where(keep)
 
 
@@ -200,9 +212,9 @@ def _head_by_cut(
 
 
 def select_eval_split(
-    df: DataFrame, max_rows: int | None = EVAL_ROWS, order_by: Sequence[str] = (POSITION,)
+    df: DataFrame, max_rows: int | None = None, order_by: Sequence[str] = (POSITION,)
 ) -> DataFrame:
-    """The first rows of ``validation``, or of ``test`` where validation is empty."""
+    """All rows, or the first ``max_rows``, of ``validation``, or of ``test`` where validation is empty."""
     for name in (VALIDATION, TEST):
         part = df.where(F.col(SPLIT) == name)
         if not part.select(SPLIT).isEmpty():

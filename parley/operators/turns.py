@@ -19,10 +19,13 @@ def fold_turns(
 
     ``fields`` maps source columns to struct fields, such as
     ``{"role": "from", "text": "value"}``. Lists are built map-side first, so
-    one shuffle moves each turn once.
+    one shuffle moves each turn once. Turns without a conversation belong to
+    none and are left out. A conversation becomes one row, so it must fit into one.
     """
     keys = [conversation] if isinstance(conversation, str) else list(conversation)
     packed = F.struct(F.col(turn), *[F.col(c).alias(f) for c, f in fields.items()])
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
     folded = df.groupBy(*keys).agg(F.array_sort(F.collect_list(packed)).alias(name))
     plain = F.transform(name, lambda t: F.struct(*[t[f].alias(f) for f in fields.values()]))
     return folded.withColumn(name, plain)

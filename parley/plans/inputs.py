@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.operators.turns import fold_turns
-from parley.session import spread
 
 ASCII = "".join(map(chr, range(0x20, 0x7F)))
 FULL_WIDTH = "\u3000" + "".join(map(chr, range(0xFF01, 0xFF5F)))
@@ -49,8 +48,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, for work that is heavy per text."""
-    return spread(table(spark, sf_dir, "documents"))
+    """The documents, read as the session's reader settings cut them."""
+    return table(spark, sf_dir, "documents")
 
 
 def widen(text: Column) -> Column:

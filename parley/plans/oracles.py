@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parley.constants import HISTOGRAM_BINS, MAX_LENGTH, WHITESPACE
+from parley.constants import CHAT_SYSTEM_PROMPT, HISTOGRAM_BINS, MAX_LENGTH, WHITESPACE
 from parley.functions.tokens import BLANK, LATIN
 from parley.plans.inputs import NAMES, SPEAKERS
 
@@ -116,7 +116,7 @@ SELECT conv_id, turn, CASE WHEN {test} THEN u END AS user_text, CASE WHEN {test}
 _BIN = "least(floor((v - low) / (high - low) * {bins}), {bins} - 1)"
 
 ORACLES = {
-    "nfkc_text": "SELECT doc_id, text FROM documents",
+    "nfkc_text": "SELECT doc_id, text || '1fi\u30ac\u00e9' AS text FROM documents",
     "normalized_text": f"""SELECT doc_id, {normal("CASE WHEN doc_id % 5 = 3 THEN regexp_replace(text, '" + chr(92) + "n+', chr(10) || chr(10), 'g') ELSE text END")} AS text FROM documents""",
     "compacted_text": f"SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '' ELSE {compact('text')} END AS text FROM documents",
     "normalized_role": f"SELECT conv_id, turn, {_list(r for _, r in NAMES)}[(conv_id * 3 + turn) % {len(NAMES)} + 1] AS role FROM conversations",
@@ -137,7 +137,7 @@ SELECT event_id, loss IS NULL AS is_infinite, round(ln(exp(loss)), 6) AS log_per
 SELECT conv_id, position, CASE WHEN role = 'system' THEN role WHEN (position - lead::INT) % 2 = 0 THEN 'user' ELSE 'assistant' END AS role, text AS content FROM t""",
     "instruction_shape": _pair(f"CASE WHEN said = '' OR extra = '' THEN said ELSE said || {_NL} || extra END", "answer"),
     "pair_shape": _pair("said", "answer"),
-    "qa_shape": _pair("said", "extra"),
+    "qa_shape": _pair("said", "answer"),
     "text_shape": f"""SELECT doc_id, 0::BIGINT AS position, 'user' AS role, {normal("CASE WHEN doc_id % 5 = 3 THEN regexp_replace(text, '" + chr(92) + "n+', chr(10) || chr(10), 'g') ELSE text END")} AS content FROM documents""",
     "dispatched_shapes": f"""WITH {_TURNS}
 SELECT conv_id, position, role, content FROM direct WHERE conv_id % 3 = 0
@@ -210,7 +210,8 @@ SELECT e.series, bin, round(bin_low, 6) AS bin_low, round(bin_high, 6) AS bin_hi
 FROM edges e LEFT JOIN l ON l.series = e.series AND v >= bin_low AND (v < bin_high OR (bin = {HISTOGRAM_BINS} AND v <= bin_high))
 GROUP BY ALL""",
     "length_totals": f"WITH {_CLEANED} SELECT count(*) AS char_count, count(*) AS token_count FROM keyed",
-    "parquet_roundtrip": "SELECT lang AS split, doc_id, text, n_chars FROM documents WHERE lang = 'en'",
+    "parquet_roundtrip": """SELECT doc_id, text, lang, source, n_chars,
+  CASE WHEN doc_id % 4 = 0 THEN '1' WHEN doc_id % 4 < 3 THEN '00' || (doc_id % 3) END AS split FROM documents""",
     "stored_order": "SELECT lang AS split, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY doc_id) <= 10",
     "jsonl_roundtrip": "SELECT doc_id, text, lang, CASE WHEN doc_id % 3 > 0 THEN source END AS source, n_chars FROM documents",
     "report_roundtrip": f"""WITH l AS (SELECT {tokens("'<|user|>' || chr(10) || text")} AS v FROM documents)
@@ -227,10 +228,12 @@ s AS (SELECT train_rows, 6::BIGINT AS effective_batch, greatest(1, ceil(train_ro
 t AS (SELECT *, greatest(1, ceil(steps_per_epoch * 2.5))::BIGINT AS total_steps FROM s)
 SELECT *, floor(total_steps * 0.03)::BIGINT AS warmup_steps FROM t""",
     "evaluated_loss": f"""WITH {_CHATS}, t AS (SELECT {_TAGGED} AS text FROM chats GROUP BY conv_id),
-l AS (SELECT list_avg(list_transform(string_split(text, '')[1:{MAX_LENGTH}], lambda c: ln(1 + unicode(c)))) AS v FROM t)
+l AS (SELECT list_avg(list_transform(string_split(text, ''), lambda c: ln(1 + unicode(c)))) AS v FROM t)
 SELECT count(*) AS rows, round(avg(v), 6) AS loss, round(exp(avg(v)), 4) AS perplexity FROM l""",
     "generated_replies": f"SELECT item_id + 1 AS ord, 'You said: ' || trim(text, {_text(WHITESPACE)}) AS reply FROM benchmark",
-    "generation_speed": f"SELECT text AS prompt, {tokens('''replace(text, ' ', '-')''')} AS generated_tokens, true AS timed, true AS floored FROM benchmark",
+    "generation_speed": f"""WITH t AS (SELECT text AS prompt, ((item_id + 1) % 5) / 8.0::DOUBLE AS latency_sec,
+  {tokens("replace(text, ' ', '-')")} AS generated_tokens FROM benchmark)
+SELECT *, round(generated_tokens / greatest(latency_sec, 1e-6), 3) AS tokens_per_sec FROM t""",
     "compared_runs": f"""SELECT item_id + 1 AS ord, text AS prompt, 'You said: ' || trim(text, {_text(WHITESPACE)}) AS base,
   trim(replace(text, ' ', '-'), {_text(WHITESPACE)}) AS tuned FROM benchmark""",
     "comparison_report": f"""SELECT 0::BIGINT AS ord, '# Compare Before/After' || {_NL} AS value
@@ -241,7 +244,7 @@ UNION ALL SELECT item_id + 1, '## Case ' || (item_id + 1) || {_NL} || {_NL} || '
 s AS (SELECT conv_id, min(turn) FILTER (blank AND role = 'user') AS stop, bool_or(role = 'system') AS own FROM t GROUP BY conv_id),
 told AS (SELECT t.conv_id, turn, role, CASE WHEN blank THEN '' ELSE content END AS content FROM t JOIN s USING (conv_id) WHERE stop IS NULL OR turn < stop),
 lines AS (SELECT conv_id, turn, role, content FROM told
-  UNION ALL SELECT conv_id, -1, 'system', '你是一个游戏 NPC，请用自然、简短的方式与玩家对话。' FROM s WHERE NOT own),
+  UNION ALL SELECT conv_id, -1, 'system', {_text(CHAT_SYSTEM_PROMPT)} FROM s WHERE NOT own),
 running AS (SELECT conv_id, turn, role, string_agg('<|' || role || '|>' || {_NL} || content || {_NL}, {_NL})
   OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS h FROM lines)
 SELECT conv_id, turn, trim(h, {_text(WHITESPACE)}) AS history FROM running WHERE role = 'user' AND turn >= 0""",

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.constants import MAX_LENGTH, PROFILE_ROWS, SEED, TEST_FRACTION, VALIDATION_FRACTION
+from parley.constants import SEED, TEST_FRACTION, VALIDATION_FRACTION
 from parley.functions.messages import ChatTemplate, content_key, is_chat_pair, to_messages
 from parley.functions.tokens import TokenizerFactory
 from parley.operators.clean import (
@@ -82,11 +82,11 @@ def run_workflow(
     test: float = TEST_FRACTION,
     validation: float = VALIDATION_FRACTION,
     seed: int = SEED,
-    profile_rows: int | None = PROFILE_ROWS,
+    profile_rows: int | None = None,
     tokenizer: str | TokenizerFactory = "words",
     training_tokenizer: str | TokenizerFactory = "codepoints",
     template: str | ChatTemplate = "chatml",
-    max_length: int = MAX_LENGTH,
+    max_length: int | None = None,
 ) -> Workflow:
     """Run the stages in their fixed order; a failing stage stops the rest.
 

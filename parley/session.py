@@ -33,25 +33,19 @@ def build_session(app: str = "parley", **conf: str) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder the cluster names, under ``name``.
 
-    Only a session without that setting, as in tests, gets a folder of its own.
+    A local session without that setting, as in tests, gets a folder of its own;
+    on a cluster that is an error, as executors would not see each other's files.
     """
     context = spark.sparkContext
     base = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local["):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="parley-"))
         base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/parley/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Let all cores work on a table that is stored in fewer pieces, such as one small file.
-
-    Tables with enough pieces, so all large ones, are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder as parquet and read it back.
 

@@ -18,6 +18,11 @@ SPLIT = "split"
 POSITION = "_position"
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
 def with_split(df: DataFrame, default: str = TRAIN) -> DataFrame:
     """A frame without splits is a single ``train`` split."""
     return df if SPLIT in df.columns else df.withColumn(SPLIT, F.lit(default))
@@ -34,15 +39,27 @@ def read_dataset(
     """Open a saved dataset, or one split of it.
 
     ``position=True`` (parquet only) adds the stored order of rows, file by
-    file, as a sortable column for operators where the first row wins.
+    file in the order of their part numbers, as a sortable column for operators
+    where the first row wins. Split names are read as they were written, also
+    those that look like numbers.
     """
     reader = spark.read.format(fmt)
+    if schema is None:
+        found = reader.load(path).schema
+        kinds = [T.StructField(SPLIT, T.StringType()) if f.name == SPLIT else f for f in found]
+        schema = T.StructType(kinds)
+        if found == schema:
+            schema = None
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(path)
     if position:
+        file = F.col("_metadata.file_path")
+        number = F.regexp_extract(file, r"part-([0-9]+)[^/]*$", 1)
         place = F.struct(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+            F.when(number != "", number.cast("bigint")).alias("part"),
+            file.alias("file"),
+            F.col("_metadata.row_index").alias("row"),
         )
         df = df.withColumn(POSITION, place)
     df = with_split(df)

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import hashlib
-import logging
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,10 +35,22 @@ def test_split_does_not_depend_on_partitions(spark):
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def test_exact_split_needs_a_telling_key(spark):
+def test_equal_keys_fall_on_one_side(spark):
     df = spark.range(9000).withColumn("key", F.lit("same"))
-    with pytest.raises(ValueError, match="does not identify a row"):
-        split_dataset(df, "key")
+    assert {r["split"] for r in split_dataset(df, "key").select("split").distinct().collect()} == {"test"}
+
+
+def test_composite_keys_do_not_read_alike(spark):
+    rows = [("a:b", "c"), ("a", "b:c"), (None, "c"), ("", "c"), ("c", None), ("c", ""), ("-", "c"), ("1:-", "c")]
+    df = spark.createDataFrame(rows, "`x.y` string, z string")
+    assert df.select(splits.split_hash(["x.y", "z"], 1)).distinct().count() == len(rows)
+
+
+def test_hash_split_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    split_dataset(spark.range(10), "id", mode="hash")
+    assert len(tracker.getJobIdsForGroup(None)) == before
 
 
 def test_repeated_keys_away_from_the_cut_do_no_harm(spark):
@@ -55,16 +66,20 @@ def test_hash_split_is_close_and_covers_all(spark):
     assert sizes["test"] == pytest.approx(2000, rel=0.1) and sizes["validation"] == pytest.approx(4000, rel=0.1)
 
 
-def test_existing_splits(spark, caplog):
+def test_existing_splits(spark):
     df = spark.range(90)
     third = df.withColumn("split", F.element_at(F.array(*map(F.lit, ("train", "validation", "test"))), (F.col("id") % 3 + 1).cast("int")))
     assert split_dataset(third, "id").exceptAll(third).isEmpty()
     two = third.where("split <> 'validation'")
-    with caplog.at_level(logging.WARNING):
-        assert split_dataset(two, "id").count() == 30
-    assert "30 rows of other splits" in caplog.text
+    with pytest.raises(ValueError, match="others"):
+        split_dataset(two, "id")
+    assert split_dataset(two, "id", others="drop").count() == 30
+    assert split_dataset(two, "id", others="merge").count() == 60
+    nulls = df.withColumn("split", F.when(F.col("id") < 40, "train"))
+    assert split_dataset(nulls, "id", others="drop").count() == 40 and split_dataset(nulls, "id", others="merge").count() == 90
+    assert split_dataset(df.withColumn("split", F.lit(None).cast("string")), "id").count() == 90
     other = df.withColumn("split", F.when(F.col("id") < 40, "b").otherwise("a"))
-    assert {r["id"] for r in split_dataset(other, "id").collect()} == set(range(40, 90))
+    assert {r["id"] for r in split_dataset(other, "id", others="drop").collect()} == set(range(40, 90))
 
 
 def test_unknown_mode(spark):
