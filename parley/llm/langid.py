@@ -17,6 +17,8 @@ FIT_ROWS = 400
 FIT_CHARS = 20_000
 #: A labelled row of at most so many characters comes before longer ones.
 FIT_ROW_CHARS = 4_000
+#: Leading bits of a key's hash that are counted to find where the chosen rows end.
+HASH_BITS = 16
 #: Characters that have classes of their own; all rarer ones share one class.
 ALPHABET = 94
 #: A phrase ends at every so many characters at the latest, so that parts of a text are parsed side by side.
@@ -190,15 +192,26 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     """Fit on at most ``rows`` labelled rows of each language, chosen by a hash of the key.
 
     Rows of usual length (``FIT_ROW_CHARS``) come first; a null label, text or key and empty texts
-    teach nothing. Keys are chosen before any text moves; the driver gets the
-    texts of the chosen rows, no more than the model can use.
+    teach nothing. Keys are chosen before any text moves: rows are counted by the leading bits of
+    their hash, so that only those up to the bits of the last chosen row are put in order. The driver
+    gets the texts of the chosen rows, no more than the model can use.
     """
     known = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("key"))
     known = known.where("lang IS NOT NULL AND key IS NOT NULL AND length(text) > 0")
-    order = Window.partitionBy("lang").orderBy("long", F.xxhash64("key", F.lit(11)), "key")
-    sized = known.select("lang", "key", F.length("text").alias("n"), (F.length("text") > FIT_ROW_CHARS).alias("long"))
+    hashed = F.xxhash64("key", F.lit(11))
+    long = F.length("text") > FIT_ROW_CHARS
+    sized = known.select("lang", "key", F.length("text").alias("n"), long.alias("long"), hashed.alias("hash"))
+    # Ordered like (long, hash), in 2 ** (HASH_BITS + 1) steps.
+    step = F.shiftright("hash", 64 - HASH_BITS) + F.when(F.col("long"), F.lit(1 << HASH_BITS)).otherwise(F.lit(0))
+    counted = sized.groupBy("lang", step.alias("step")).agg(F.count(F.lit(1)).alias("rows"))
+    so_far = F.sum("rows").over(Window.partitionBy("lang").orderBy("step").rowsBetween(Window.unboundedPreceding, 0))
+    before = counted.withColumn("earlier", so_far - F.col("rows")).where(F.col("earlier") < rows)
+    # One row a language, of which the model holds an automaton each.
+    last = F.broadcast(before.groupBy("lang").agg(F.max("step").alias("last")))
+    first = sized.join(last, "lang").where(step <= F.col("last"))
+    order = Window.partitionBy("lang").orderBy("long", "hash", "key")
     chosen = (
-        sized.withColumn("place", F.row_number().over(order))
+        first.withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= rows)
         .withColumn("before", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
         .where(F.col("before") < 2 * FIT_CHARS)
