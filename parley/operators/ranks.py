@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _BUCKET_BITS = 12
-_FETCH_ROWS = 4096
 _LOWEST = -(2**63)
 
 
@@ -41,7 +40,6 @@ class _Search:
     low: int | None = None
     high: int | None = None
     cut: Cut | None = None
-    few: bool = False
 
     def node(self) -> tuple:
         return (self.group, self.fixed, self.low, self.high)
@@ -96,13 +94,11 @@ def order_cuts(
         low, high, rows = bounds[g]
         for r in rs:
             cut = None if 0 < r < rows else Cut()
-            searches[g, r] = _Search(g, r, low=low, high=high, cut=cut, few=rows <= _FETCH_ROWS)
+            searches[g, r] = _Search(g, r, low=low, high=high, cut=cut)
     todo = [s for s in searches.values() if s.cut is None]
     while todo:
         _open_level(slim, [s for s in todo if s.low is None])
         todo = [s for s in todo if s.cut is None]
-        _fetch(slim, [s for s in todo if s.few], len(order))
-        todo = [s for s in todo if s.cut is None]
         _narrow(slim, todo, len(order))
         todo = [s for s in todo if s.cut is None]
     return {g: [searches[g, r].cut or None for r in rs] for g, rs in ranks.items()}
@@ -126,7 +122,7 @@ def order_bounds(
 
 
 def _open_level(slim: DataFrame, searches: list[_Search]) -> None:
-    """Range and number of the next order column's values."""
+    """Range of the next order column's values."""
     if not searches:
         return
     step = _Pass(searches)
@@ -134,29 +130,13 @@ def _open_level(slim: DataFrame, searches: list[_Search]) -> None:
         step.rows(slim)
         .withColumn("_v", step.case(lambda _, level: F.col(f"_o{level}")))
         .groupBy("_node")
-        .agg(F.min("_v"), F.max("_v"), F.count(F.lit(1)))
+        .agg(F.min("_v"), F.max("_v"))
         .collect()
     )
     bounds = {r[0]: r[1:] for r in found}
     at = [step.nodes.index(s.node()) for s in searches]
     for s, i in zip(searches, at, strict=True):
-        s.low, s.high, rows = bounds[i]
-        s.few = rows <= _FETCH_ROWS
-
-
-def _fetch(slim: DataFrame, searches: list[_Search], levels: int) -> None:
-    """Few rows are left: look at them."""
-    if not searches:
-        return
-    step = _Pass(searches)
-    names = [f"_o{i}" for i in range(levels)]
-    rows: dict[int, list[tuple[int, ...]]] = {}
-    for r in step.rows(slim).select("_node", *names).collect():
-        rows.setdefault(r[0], []).append(tuple(r[1:]))
-    for s in searches:
-        values = sorted(rows[step.nodes.index(s.node())])
-        s.cut = Cut(values[s.rank - 1])
-        s.cut.tied = s.rank < len(values) and values[s.rank] == s.cut
+        s.low, s.high = bounds[i]
 
 
 def _narrow(slim: DataFrame, searches: list[_Search], levels: int) -> None:
@@ -183,10 +163,9 @@ def _narrow(slim: DataFrame, searches: list[_Search], levels: int) -> None:
             s.rank -= rows
         s.low = max(s.low, b << shifts[i])
         s.high = min(s.high, ((b + 1) << shifts[i]) - 1)
-        s.few = rows <= _FETCH_ROWS
         if s.rank == rows:
             s.cut = Cut((*s.fixed, s.high))
-        elif s.low == s.high and not s.few:
+        elif s.low == s.high:
             s.fixed, s.low, s.high = (*s.fixed, s.low), None, None
             if len(s.fixed) == levels:
                 s.cut = Cut(s.fixed)

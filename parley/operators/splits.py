@@ -20,10 +20,8 @@ from parley.constants import (
 from parley.operators.ranks import Bounds, Cut, order_bounds, order_cuts, within_cut
 from parley.sources.datasets import POSITION, SPLIT, named, with_split
 
-# Up to this many rows per split a plain top-n window is cheapest: no task emits more.
-_WINDOW_ROWS = 1_000
 # Cuts are one comparison per split in the filter; more splits than this are ranked in windows,
-# which then spread over many tasks anyway.
+# which then spread over many tasks anyway. Which rows are the first does not depend on it.
 _CUT_SPLITS = 64
 _WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -140,10 +138,10 @@ def head_per_split(
     Whole-number order columns: the order value at rank ``n`` is found by
     counting, and rows are filtered in place, at the scan where possible, without
     any sort or shuffle. In stored order: files behind the last one needed are
-    not opened. What then is left to rank, as with other columns, goes through a
-    top-n window, which no map task answers with more than ``n`` rows per split;
-    for large ``n`` through two, first in salted groups, so that no task receives
-    a whole split.
+    not opened. What then is left to rank, as with other columns, goes through two
+    top-n windows, the first in salted groups, so that no task receives a whole
+    split. Rows that share all order values are taken in the order of a hash of the whole row, so that
+    the same rows come first whichever way they are found.
     """
     df = with_split(df) if by == SPLIT else df
     order_by = list(order_by)
@@ -155,11 +153,15 @@ def head_per_split(
             df, exact = _head_by_cut(df, n, order_by, by, bounds)
             if exact:
                 return df
-    if n <= _WINDOW_ROWS:
-        return _top_n(df, n, [by], order_by)
-    salt = F.pmod(F.xxhash64(*order_by), F.lit(_salts(df)))
-    salted = _top_n(df.withColumn("_salt", salt), n, [by, "_salt"], order_by)
-    return _top_n(salted.drop("_salt"), n, [by], order_by)
+    tie = F.xxhash64(*[named(f.name) for f in df.schema.fields if _hashable(f.dataType)])
+    salted = df.withColumn("_tie", tie).withColumn("_salt", F.pmod("_tie", F.lit(_salts(df))))
+    order = [*order_by, "_tie"]
+    return _top_n(_top_n(salted, n, [by, "_salt"], order).drop("_salt"), n, [by], order).drop("_tie")
+
+
+def _hashable(kind: T.DataType) -> bool:
+    """Spark hashes no maps, nor what holds them."""
+    return "map<" not in kind.simpleString() and "variant" not in kind.simpleString()
 
 
 def _head_files(df: DataFrame, n: int, by: str) -> DataFrame:
@@ -229,5 +231,15 @@ def pick_example(
     df = with_split(df)
     found = F.when(F.max(F.col(SPLIT) == split), F.lit(split)).otherwise(F.min(SPLIT))
     chosen = df.select(SPLIT).agg(found).first()[0]
-    first = head_per_split(df.where(F.col(SPLIT) == chosen), i + 1, order_by)
+    df = df.where(F.col(SPLIT) == chosen)
+    if i > 0 and all(isinstance(df.schema[c].dataType, _WHOLE_NUMBERS) for c in order_by):
+        order = [F.col(c) for c in order_by]
+        bounds = order_bounds(df, F.col(SPLIT), order[0])
+        if not bounds or i >= bounds[chosen][2]:
+            return df.limit(0)
+        before, upto = order_cuts(df, F.col(SPLIT), order, {chosen: [i, i + 1]}, bounds)[chosen]
+        if not before.tied and not (upto and upto.tied):
+            # Only the one row lies between the cuts.
+            return df.where(~within_cut(order, before) & (within_cut(order, upto) if upto else F.lit(True)))
+    first = head_per_split(df, i + 1, order_by)
     return first.orderBy(*order_by).offset(i).limit(1)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parley.operators import ranks, splits
-from parley.operators.splits import head_per_split, select_eval_split, split_dataset, split_sizes
+from parley.operators.splits import head_per_split, pick_example, select_eval_split, split_dataset, split_sizes
 
 
 @pytest.mark.parametrize(("rows", "sizes"), [(1000, (960, 20, 20)), (100, (96, 2, 2)), (25, (24, 0, 1)), (0, (0, 0, 0))])
@@ -22,8 +22,7 @@ def brute_force_split(ids, test, validation, seed):
 
 @pytest.mark.parametrize("rows", [0, 1, 25, 1000, 9001])
 @pytest.mark.parametrize(("test", "validation"), [(0.02, 0.02), (0.3, 0.1), (0.0, 0.5), (0.5, 0.0), (0.0, 0.0)])
-def test_exact_split_is_the_ranked_split(spark, monkeypatch, rows, test, validation):
-    monkeypatch.setattr(ranks, "_FETCH_ROWS", 16)
+def test_exact_split_is_the_ranked_split(spark, rows, test, validation):
     df = spark.range(rows, numPartitions=3)
     got = {r["id"]: r["split"] for r in split_dataset(df, "id", test, validation, seed=5).collect()}
     assert got == brute_force_split(range(rows), test, validation, 5)
@@ -102,29 +101,25 @@ def brute_force_head(n):
 
 
 @pytest.mark.parametrize("n", [0, 1, 40, 1200, 1700, 9999])
-@pytest.mark.parametrize("way", ["window", "cut", "salted"])
+@pytest.mark.parametrize("way", ["ranked", "cut", "struct"])
 def test_head_per_split(spark, monkeypatch, n, way):
-    monkeypatch.setattr(ranks, "_FETCH_ROWS", 8)
-    monkeypatch.setattr(splits, "_WINDOW_ROWS", 10**6 if way == "window" else 0)
     monkeypatch.setattr(splits, "_CUT_SPLITS", 64 if way == "cut" else 0)
     df = spark.createDataFrame(ROWS, "split string, x bigint, y bigint").repartition(5)
-    if way == "salted":
+    if way == "struct":
         df = df.withColumn("x", F.struct("x"))
     got = head_per_split(df, n, ["x", "y"])
-    if way == "salted":
+    if way == "struct":
         got = got.withColumn("x", F.col("x.x"))
     rows = got.collect()
     assert len(rows) == len(set(rows)) and {tuple(r) for r in rows} == brute_force_head(n)
 
 
-def test_head_of_many_splits(spark, monkeypatch):
-    monkeypatch.setattr(splits, "_WINDOW_ROWS", 0)
+def test_head_of_many_splits(spark):
     df = spark.range(3000).withColumn("split", (F.col("id") % 100).cast("string"))
     assert sorted(r["id"] for r in head_per_split(df, 3, ["id"]).collect()) == list(range(300))
 
 
-def test_cuts_over_the_whole_range_of_numbers(spark, monkeypatch):
-    monkeypatch.setattr(ranks, "_FETCH_ROWS", 1)
+def test_cuts_over_the_whole_range_of_numbers(spark):
     values = sorted({-(2**63), 2**63 - 1, *(s * 3**k for k in range(39) for s in (1, -1)), 0})
     df = spark.createDataFrame([("g", v) for v in values], "g string, v bigint")
     bounds = ranks.order_bounds(df, F.col("g"), F.col("v"))
@@ -135,13 +130,33 @@ def test_cuts_over_the_whole_range_of_numbers(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("n", [1, 700, 2000])
-def test_tied_order_still_gives_n_rows(spark, monkeypatch, n):
-    monkeypatch.setattr(ranks, "_FETCH_ROWS", 8)
+def test_tied_order_still_gives_n_rows(spark, n):
     df = spark.range(6000).select(F.lit("s").alias("split"), "id", (F.col("id") % 3).alias("x"))
     rows = head_per_split(df, n, ["x"]).collect()
     assert len({r["id"] for r in rows}) == n and {r["x"] for r in rows} == {0}
 
 
+def test_ties_fall_alike_whichever_way_rows_are_found(spark, monkeypatch):
+    df = spark.range(6000).select(F.lit("s").alias("split"), "id", (F.col("id") % 3).alias("x"))
+    found = []
+    for cut_splits, parts in ((64, 3), (0, 3), (0, 17)):
+        monkeypatch.setattr(splits, "_CUT_SPLITS", cut_splits)
+        found.append({r["id"] for r in head_per_split(df.repartition(parts), 1500, ["x"]).collect()})
+    assert found[0] == found[1] == found[2]
+
+
+def test_example_between_two_cuts(spark):
+    rows = [("a", v, w) for v, w in ((None, 1), (3, 1), (3, 2), (5, 1), (5, 1), (9, 0))]
+    df = spark.createDataFrame(rows, "split string, v bigint, w bigint")
+    for i, row in enumerate(rows):
+        assert [tuple(r) for r in pick_example(df, "a", i, ["v", "w"]).collect()] == [row]
+    assert pick_example(df, "a", 6, ["v", "w"]).collect() == []
+    big = spark.range(9000).withColumn("split", F.lit("train"))
+    example = pick_example(big, i=7000, order_by=["id"])
+    assert [r["id"] for r in example.collect()] == [7000]
+    assert "TakeOrdered" not in example._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rows_without_a_split_are_a_split_too(spark):
     df = spark.range(100).withColumn("split", F.when(F.col("id") % 2 == 0, "s"))
     rows = sorted(r["id"] for r in head_per_split(df, 3, ["id"]).collect())
