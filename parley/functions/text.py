@@ -107,9 +107,6 @@ def _normalized(texts: pa.Array) -> pa.Array:
     return pa.array(nfkc_form, pa.string())
 
 
-# Both functions are declared non-deterministic although they are not: the planner then
-# evaluates each call exactly once, where it stands, instead of copying it (and the text
-# steps around it) into every later expression or below a later filter.
 @F.arrow_udf(T.StringType())
 def _nfkc_batch(texts: pa.Array) -> pa.Array:
     return _normalized(texts)
@@ -125,10 +122,6 @@ def _nfkc_list_batch(lists: pa.Array) -> pa.Array:
     return kind.from_arrays(offsets, values, mask=pc.is_null(lists))
 
 
-_nfkc_batch = _nfkc_batch.asNondeterministic()
-_nfkc_list_batch = _nfkc_list_batch.asNondeterministic()
-
-
 def _needs_tables(col: Column) -> Column:
     """Conservative test: false only where ``_fold`` does all that NFKC would do.
 

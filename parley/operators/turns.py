@@ -34,7 +34,10 @@ def fold_turns(
 def unfold_turns(df: DataFrame, name: str = "messages", turn: str = "turn") -> DataFrame:
     """One row per message: the other columns, its position, its fields. No shuffle."""
     kept = [c for c in df.columns if c != name]
+    # An expression, not a bare column: for a column the planner adds a filter on its size, moves it
+    # below the projection that makes the messages, and so makes them twice.
+    items = F.coalesce(F.col(f"`{name}`"), F.lit(None).cast(df.schema[name].dataType), F.array().cast(df.schema[name].dataType))
     return (
-        df.select(*kept, F.posexplode(name).alias(turn, "_message"))
+        df.select(*kept, F.posexplode(items).alias(turn, "_message"))
         .select(*kept, F.col(turn).cast("bigint").alias(turn), "_message.*")
     )

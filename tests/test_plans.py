@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from parley.functions.messages import to_messages
 from parley.functions.text import compact_text, is_blank
 from parley.functions.tokens import token_count
 from parley.operators.clean import convert_chat, normalize_rows, remove_duplicates, remove_null
 from parley.operators.profile import preview
 from parley.operators.splits import head_per_split, split_dataset
+from parley.operators.turns import unfold_turns
 from parley.plans.workflow import clean
 from parley.plans.inputs import table, untidy_conversations
+from parley.session import scratch_path
+from parley.sources.datasets import read_dataset, write_dataset
 
 
 def plan(df):
@@ -34,6 +38,21 @@ def test_conversion_runs_python_once_and_builds_messages_once(spark, sf_dir):
     assert plan(normalize_rows(raw)).count("ArrowEvalPython") == 1
 
 
+def test_unfolded_messages_are_built_once_and_filters_reach_the_scan(spark, sf_dir):
+    raw = untidy_conversations(spark, sf_dir)
+    made = unfold_turns(raw.select("conv_id", to_messages(raw).alias("messages")))
+    assert plan(made).count("ArrowEvalPython") == 1
+    steps = plan(normalize_rows(table(spark, sf_dir, "documents")).where("doc_id < 9"))
+    assert "PushedFilters: [IsNotNull(doc_id), LessThan(doc_id,9)]" in steps
+
+
+def test_filters_on_the_split_prune_folders_below_normalisation(spark, sf_dir):
+    path = scratch_path(spark, "pruned")
+    write_dataset(table(spark, sf_dir, "documents").withColumn("split", F.col("lang")), path)
+    steps = plan(normalize_rows(read_dataset(spark, path)).where("split = 'en'"))
+    assert "PartitionFilters: [isnotnull(split" in steps
+
+
 def test_dedup_drops_copies_before_the_shuffle(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     steps = plan(remove_duplicates(docs, order_by=["doc_id"]))
