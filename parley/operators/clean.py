@@ -72,8 +72,7 @@ def _normalize_field(items: Column, name: str) -> Column:
 
 def dedup_key(df: DataFrame) -> Column:
     """What makes two rows the same: their messages, or else all their text columns."""
-    names = [f.name for f in data_fields(df) if isinstance(f.dataType, T.StringType)]
-    return F.coalesce(content_key(to_messages(df)), row_key(df, names))
+    return F.coalesce(content_key(to_messages(df)), _row_text_key(df))
 
 
 def remove_duplicates(
@@ -134,7 +133,10 @@ def convert_chat(
 
 
 def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per stage and split, in stage order, in one plan."""
+    """Rows per split of frames that are there already, such as written stages, in stage order.
+
+    Every frame is read on its own; for the cleaning stages of one frame there is ``clean_counts``.
+    """
     parts = [
         with_split(df)
         .groupBy(SPLIT)
@@ -148,11 +150,47 @@ def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def clean_counts(df: DataFrame, null_policy: str = "missing") -> DataFrame:
+    """Rows that each cleaning stage leaves of each split, from one pass over the rows.
+
+    Rows are counted by split and key first, map-side, so that a text that many rows share is one row
+    of the shuffle: all its rows hold messages or none does, the first of them is what deduplication
+    leaves, and equal messages make a chat or none. Splits that a stage empties have 0 rows.
+    """
+    df = with_split(df)
+    normal = normalize_rows(df.withColumn("_filled", has_messages(df, null_policy)))
+    # Rows without messages go before any key is made, and share one.
+    messages = normal.select(SPLIT, "_filled", to_messages(normal, null_policy).alias("_m"), _row_text_key(normal).alias("_row"))
+    filled = F.col("_filled")
+    key = F.when(filled, F.coalesce(content_key(F.col("_m")), F.col("_row")))
+    pair = filled & is_chat_pair(F.col("_m"))
+    keyed = messages.select(SPLIT, filled, key.alias("_key"), pair.alias("_pair"))
+    groups = keyed.groupBy(SPLIT, "_filled", "_key").agg(F.count(F.lit(1)).alias("_n"), F.max("_pair").alias("_pair"))
+    counts = groups.groupBy(SPLIT).agg(
+        F.sum("_n").alias("raw"),
+        F.coalesce(F.sum(F.when(filled, F.col("_n"))), F.lit(0)).alias("no_null"),
+        F.count_if(filled).alias("deduplicated"),
+        F.count_if(F.col("_pair")).alias("chat"),
+    )
+    left = {"raw": "raw", "no_null": "no_null", "normalized": "no_null", "deduplicated": "deduplicated", "chat": "chat"}
+    stages = [
+        F.struct(F.lit(i).cast("bigint").alias("step"), F.lit(stage).alias("stage"), F.col(rows).alias("rows"))
+        for i, (stage, rows) in enumerate(left.items())
+    ]
+    return counts.select(SPLIT, F.inline(F.array(*stages))).select("step", "stage", SPLIT, "rows")
+
+
+def _row_text_key(df: DataFrame) -> Column:
+    """The key of rows without messages: all their text columns."""
+    return row_key(df, [f.name for f in data_fields(df) if isinstance(f.dataType, T.StringType)])
+
+
 def observe_rows(df: DataFrame, stage: str, splits: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
     """Count a stage's rows while they pass, without another job.
 
     ``observation.get`` has ``rows`` and one ``rows_<split>`` per named split
-    once an action on the returned frame has run.
+    once an action on the returned frame has run. A task that is run again, after
+    the loss of its executor, may be counted again; ``clean_counts`` is exact.
     """
     seen = Observation(stage)
     per_split = [F.count_if(F.col(SPLIT) == s).alias(f"rows_{s}") for s in splits]

@@ -160,12 +160,16 @@ SELECT min(conv_id) AS conv_id, arg_min(turns, conv_id) AS turns FROM alls GROUP
 ok AS (SELECT conv_id FROM inferred GROUP BY conv_id HAVING count(*) >= 2 AND arg_max(role, turn) = 'assistant' AND bool_or(role = 'user')),
 n AS (SELECT conv_id, count(*)::INT AS turns FROM conversations GROUP BY conv_id)
 SELECT conv_id, turns, conv_id / 2 AS half, position, role, content FROM inferred JOIN ok USING (conv_id) JOIN n USING (conv_id)""",
-    "stage_report": f"""WITH {_CLEANED}
-SELECT 0::BIGINT AS step, 'raw' AS stage, 'train' AS split, 2 * count(DISTINCT conv_id) AS rows FROM conversations
-UNION ALL SELECT 1, 'no_null', 'train', 2 * count(*) FROM keyed
-UNION ALL SELECT 2, 'normalized', 'train', 2 * count(*) FROM keyed
-UNION ALL SELECT 3, 'deduplicated', 'train', count(*) FROM firsts
-UNION ALL SELECT 4, 'chat', 'train', count(*) FROM firsts JOIN keyed USING (conv_id) WHERE is_pair""",
+    "stage_report": f"""WITH {_CLEANED},
+named AS (SELECT DISTINCT conv_id, CASE conv_id % 2 WHEN 0 THEN 'even' ELSE 'odd' END AS split FROM conversations),
+own AS (SELECT min(conv_id) AS conv_id FROM keyed JOIN named USING (conv_id) GROUP BY split, key),
+counts AS (
+  SELECT 0::BIGINT AS step, 'raw' AS stage, conv_id, 2 AS n FROM named
+  UNION ALL SELECT 1, 'no_null', conv_id, 2 FROM keyed
+  UNION ALL SELECT 2, 'normalized', conv_id, 2 FROM keyed
+  UNION ALL SELECT 3, 'deduplicated', conv_id, 1 FROM own
+  UNION ALL SELECT 4, 'chat', conv_id, 1 FROM own JOIN keyed USING (conv_id) WHERE is_pair)
+SELECT step, stage, split, sum(n)::BIGINT AS rows FROM counts JOIN named USING (conv_id) GROUP BY ALL""",
     "exact_split": f"WITH {_exact_split('documents', 'doc_id', 0.02, 0.02)} SELECT doc_id, split FROM parts",
     "hashed_split": """WITH h AS (SELECT doc_id, ('0x' || substr(sha1('7:' || doc_id), 1, 8))::BIGINT / 4294967296.0 AS place FROM documents)
 SELECT doc_id, CASE WHEN place < 0.1 THEN 'test' WHEN place < 0.1::DOUBLE + 0.2::DOUBLE THEN 'validation' ELSE 'train' END AS split FROM h""",

@@ -25,7 +25,7 @@ from parley.functions.metrics import perplexity
 from parley.functions.roles import normalize_role
 from parley.functions.text import char_length, compact_text, nfkc, normalize_text, strip
 from parley.functions.tokens import token_count
-from parley.operators.clean import convert_chat, normalize_rows, remove_duplicates, remove_null, stage_counts
+from parley.operators.clean import clean_counts, convert_chat, normalize_rows, remove_duplicates, remove_null
 from parley.operators.evaluate import evaluate_loss
 from parley.operators.generate import (
     chat_history,
@@ -308,13 +308,9 @@ def converted_chats(spark, sf):
 
 @query
 def stage_report(spark, sf):
+    """Two splits; each conversation and its copy lie in the same one."""
     raw = _copies(_with_empty(untidy_conversations(spark, sf)))
-    filled = remove_null(raw)
-    normal = normalize_rows(filled)
-    unique = remove_duplicates(normal, order_by=["conv_id"])
-    stages = {"raw": raw, "no_null": filled, "normalized": normal, "deduplicated": unique}
-    stages["chat"] = convert_chat(unique)
-    return stage_counts(stages)
+    return clean_counts(raw.withColumn("split", F.when(F.col("conv_id") % 2 == 0, "even").otherwise("odd")))
 
 
 # --- splits -------------------------------------------------------------------

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from parley.functions.messages import row_key
 from parley.operators.clean import (
+    clean_counts,
     convert_chat,
     normalize_rows,
     observe_rows,
@@ -108,3 +109,22 @@ def test_stage_counts_and_observations(spark):
     seen_df, seen = observe_rows(few, "even", ["train", "test"])
     seen_df.collect()
     assert seen.get == {"rows": 5, "rows_train": 3, "rows_test": 2}
+
+
+def test_counts_of_one_pass_are_those_of_the_stages(spark):
+    chat = "messages array<struct<role:string,content:string>>, split string, id int, note string"
+    hello, answer = ("user", "hello"), ("assistant", "ｙｅｓ  sir")
+    rows = [([hello, answer], "a", i, "n") for i in range(40)]
+    rows += [([hello, ("assistant", "yes sir")], "b", 50, None), ([hello], "b", 51, None), ([hello], "b", 52, "x")]
+    rows += [(None, "c", 60, "kept"), ([("user", " ")], "c", 61, ""), ([("user", None)], None, 62, None), ([answer], None, 63, None)]
+    df = spark.createDataFrame(rows, chat)
+    filled = remove_null(df)
+    unique = remove_duplicates(normalize_rows(filled), ["id"])
+    stages = {"raw": df, "no_null": filled, "normalized": normalize_rows(filled), "deduplicated": unique, "chat": convert_chat(unique)}
+    wanted = {tuple(r) for r in stage_counts(stages).collect()}
+    counted = clean_counts(df)
+    steps = counted._jdf.queryExecution().executedPlan().toString()
+    got = {tuple(r) for r in counted.collect()}
+    assert {r for r in got if r[3]} == wanted and len(got) == 20
+    assert steps.count("Scan ExistingRDD") == 1 and "Union" not in steps
+    assert clean_counts(df.limit(0)).collect() == []
