@@ -257,4 +257,19 @@ chosen AS (SELECT conv_id FROM firsts JOIN keyed USING (conv_id) WHERE is_pair),
 {_exact_split('chosen', 'conv_id', 0.1, 0.1)},
 l AS (SELECT split, {tokens('rendered')} AS v FROM keyed JOIN parts USING (conv_id))
 SELECT split, {_LENGTH_STATS} FROM l GROUP BY split""",
+    "workflow_reports": f"""WITH {_CLEANED},
+chosen AS (SELECT conv_id FROM firsts JOIN keyed USING (conv_id) WHERE is_pair),
+{_exact_split('chosen', 'conv_id', 0.1, 0.1)},
+everything AS (SELECT 2 * count(DISTINCT conv_id) AS rows FROM conversations),
+filled_rows AS (SELECT 2 * count(*) AS rows FROM keyed),
+per_split AS (SELECT split, count(*) AS rows FROM parts GROUP BY split)
+SELECT 'raw' AS what, 'train' AS split, rows FROM everything
+UNION ALL SELECT 'stats', 'train', rows FROM everything
+UNION ALL SELECT 'no_null', 'train', rows FROM filled_rows
+UNION ALL SELECT 'normalized', 'train', rows FROM filled_rows
+UNION ALL SELECT 'tokens', 'all', rows FROM filled_rows
+UNION ALL SELECT 'deduplicated', 'train', count(*) FROM firsts
+UNION ALL SELECT 'chat', 'train', count(*) FROM chosen
+UNION ALL SELECT 'sizes', split, rows FROM per_split
+UNION ALL SELECT 'dataset', split, rows FROM per_split""",
 }

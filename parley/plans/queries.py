@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -550,3 +551,23 @@ def workflow_split(spark, sf):
     done = run_workflow(raw, ["conv_id"], ["conv_id"], skip_profile=True, test=0.1, validation=0.1)
     stats = token_stats(done.dataset, max_rows=None, by=["split"])
     return stats.withColumns({"p95": F.round("p95", 6), "mean": F.round("mean", 6)})
+
+
+@query
+def workflow_reports(spark, sf):
+    """The reports and the dataset that a workflow has saved, read back."""
+    raw = _copies(_with_empty(untidy_conversations(spark, sf)))
+    out = scratch_path(spark, "workflow_reports")
+    run_workflow(raw, ["conv_id"], ["conv_id"], skip_training=True, test=0.1, validation=0.1, path=out)
+
+    def saved(name: str) -> DataFrame:
+        return read_report(spark, f"{out}/reports/{name}")
+
+    parts = [
+        saved("stage_counts").select(F.col("stage").alias("what"), "split", "rows"),
+        saved("stats").select(F.lit("stats").alias("what"), "split", "rows"),
+        saved("token_stats").select(F.lit("tokens").alias("what"), F.lit("all").alias("split"), F.col("kept").alias("rows")),
+        saved("split_sizes").select(F.lit("sizes").alias("what"), "split", "rows"),
+        list_splits(read_dataset(spark, f"{out}/dataset")).select(F.lit("dataset").alias("what"), "split", "rows"),
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -12,6 +12,7 @@ from parley.constants import SEED, TEST_FRACTION, VALIDATION_FRACTION
 from parley.functions.messages import ChatTemplate, content_key, is_chat_pair, to_messages
 from parley.functions.tokens import TokenizerFactory
 from parley.operators.clean import (
+    clean_counts,
     kept_columns,
     normalize_rows,
     observe_rows,
@@ -22,14 +23,14 @@ from parley.operators.profile import (
     dataset_stats,
     length_counts,
     length_histogram,
+    length_stats,
     preview,
     text_lengths,
-    token_stats,
 )
 from parley.operators.sft import to_training_text, tokenize_sft, training_plan
-from parley.operators.splits import split_dataset
+from parley.operators.splits import pick_example, split_dataset
 from parley.session import materialize
-from parley.sources.datasets import with_split
+from parley.sources.datasets import list_splits, read_dataset, with_split, write_dataset, write_report
 
 
 @dataclass
@@ -38,11 +39,14 @@ class Workflow:
 
     stats: DataFrame | None = None
     preview: DataFrame | None = None
+    example: DataFrame | None = None
     token_stats: DataFrame | None = None
     length_counts: DataFrame | None = None
     length_histogram: DataFrame | None = None
     counts: dict[str, int] | None = None
+    stage_counts: DataFrame | None = None
     dataset: DataFrame | None = None
+    split_sizes: DataFrame | None = None
     training_text: DataFrame | None = None
     training_tokens: DataFrame | None = None
     training_plan: DataFrame | None = None
@@ -87,29 +91,54 @@ def run_workflow(
     training_tokenizer: str | TokenizerFactory = "codepoints",
     template: str | ChatTemplate = "chatml",
     max_length: int | None = None,
+    path: str | None = None,
 ) -> Workflow:
-    """Run the stages in their fixed order; a failing stage stops the rest.
+    """Run the stages in their fixed order.
 
-    The cleaned rows are written once to the shared scratch folder: splitting
-    reads only their key from there, and no later stage repeats the cleaning.
+    The two length columns are written once to the shared scratch folder, for all
+    statistics of them, and so are the cleaned rows: splitting reads only their
+    key from there, and no later stage repeats the cleaning.
+
+    With ``path``, each stage's results are saved below it before the next stage
+    starts, so a failing stage stops the rest: reports as one JSON folder each in
+    ``reports``, the split rows as ``dataset``, the training tokens as ``training``.
+    Without it only the written parts run here; the frames are yet to be read. ``counts`` are
+    totals seen in passing; ``stage_counts``, per split and exact, passes over the raw rows again.
     """
     done = Workflow()
     df = with_split(df)
+
+    def save(*names: str) -> None:
+        for name in names if path is not None else ():
+            write_report(getattr(done, name), f"{path}/reports/{name}")
+
     if not skip_profile:
-        lengths = text_lengths(df, tokenizer, template, profile_rows, order_by)
+        lengths = materialize(text_lengths(df, tokenizer, template, profile_rows, order_by), "lengths")
         done.stats = dataset_stats(df)
         done.preview = preview(df, order_by=order_by)
-        done.token_stats = token_stats(df, profile_rows, tokenizer, template, order_by)
+        done.example = pick_example(df, order_by=order_by)
+        done.token_stats = length_stats(lengths)
         done.length_counts = length_counts(lengths)
         done.length_histogram = length_histogram(lengths)
+        save("stats", "preview", "example", "token_stats", "length_counts", "length_histogram")
     if not skip_clean:
+        done.stage_counts = clean_counts(df)
+        save("stage_counts")
         cleaned, seen = clean(df, order_by, key, keep_other_fields)
         cleaned = materialize(cleaned, "cleaned")
         done.counts = {stage: o.get["rows"] for stage, o in seen.items()}
         df = split_dataset(cleaned, key, test, validation, seed)
+    if path is not None:
+        write_dataset(df, f"{path}/dataset")
+        df = read_dataset(df.sparkSession, f"{path}/dataset")
     done.dataset = df
+    done.split_sizes = list_splits(df)
+    save("split_sizes")
     if not skip_training:
         done.training_text = to_training_text(df, template, keep=key)
         done.training_tokens = tokenize_sft(done.training_text, training_tokenizer, max_length, keep=key)
         done.training_plan = training_plan(df)
+        if path is not None:
+            done.training_tokens.write.parquet(f"{path}/training")
+        save("training_plan")
     return done

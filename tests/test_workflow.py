@@ -6,7 +6,7 @@ from parley.operators.clean import convert_chat, normalize_rows, remove_duplicat
 from parley.plans.inputs import untidy_conversations
 from parley.plans.workflow import clean, run_workflow
 from parley.session import scratch_path
-from parley.sources.datasets import with_split
+from parley.sources.datasets import read_dataset, read_report, with_split
 from parley.streaming.clean import clean_stream
 
 
@@ -37,6 +37,21 @@ def test_workflow_equals_the_single_steps(spark, sf_dir):
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and not a.isEmpty()
 
 
+def test_saved_workflow(spark, sf_dir):
+    raw = untidy_conversations(spark, sf_dir)
+    out = scratch_path(spark, "saved")
+    done = run_workflow(raw, ["conv_id"], ["conv_id"], test=0.1, validation=0.1, path=out)
+    totals = done.stage_counts.groupBy("stage").agg(F.sum("rows").alias("rows")).collect()
+    assert {r["stage"]: r["rows"] for r in totals} == done.counts
+    saved = read_report(spark, f"{out}/reports/stage_counts").select(*done.stage_counts.columns)
+    assert saved.exceptAll(done.stage_counts).isEmpty() and saved.count() == 5
+    assert read_report(spark, f"{out}/reports/example").first()["conv_id"] == raw.agg(F.min("conv_id")).first()[0]
+    sizes = {r["split"]: r["rows"] for r in read_report(spark, f"{out}/reports/split_sizes").collect()}
+    assert sum(sizes.values()) == done.counts["chat"] == spark.read.parquet(f"{out}/training").count()
+    assert read_report(spark, f"{out}/reports/training_plan").first()["train_rows"] == sizes["train"]
+    assert read_dataset(spark, f"{out}/dataset").count() == done.counts["chat"]
+
+
 def test_skipped_stages(spark, sf_dir):
     raw = untidy_conversations(spark, sf_dir)
     done = run_workflow(raw, ["conv_id"], ["conv_id"], skip_profile=True, skip_training=True)
