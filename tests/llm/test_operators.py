@@ -241,3 +241,16 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
         docs = after
     final = corpus_pipeline.run(spark, sf_dir)
     assert final.count() == docs.count() and final.where("n_tokens < 0").count() == 0
+
+
+@pytest.mark.parametrize("rows", [1, 7, 10_000])
+def test_rows_to_learn_from_are_the_first_by_hash(spark, monkeypatch, rows):
+    texts = [(i, "ab"[i % 3 == 0], f"text {i} " * (600 if i % 5 == 0 else 1)) for i in range(300)]
+    texts += [(400, None, "no label"), (401, "a", None), (402, "b", ""), (None, "b", "no key")]
+    df = spark.createDataFrame(texts, "doc_id long, lang string, text string").repartition(7)
+    monkeypatch.setattr(langid, "FIT_CHARS", 10**9)
+    monkeypatch.setattr(langid, "fit", lambda texts: texts)
+    hashes = {r[0]: r[1] for r in df.select("doc_id", F.xxhash64("doc_id", F.lit(11))).collect()}
+    order = sorted(texts[:300], key=lambda r: (len(r[2]) > langid.FIT_ROW_CHARS, hashes[r[0]]))
+    wanted = {lang: [t for _, of, t in order if of == lang][:rows] for lang in "ab"}
+    assert langid.learn(df, rows=rows) == wanted
