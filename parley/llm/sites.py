@@ -17,6 +17,8 @@ from parley.session import materialize
 
 #: A branch whose importance is below this is removed.
 LEAST_IMPORTANCE = 0.3
+#: The same for branches of elements that name themselves as main text.
+LEAST_MAIN = 0.1
 #: Share of the presentation in a branch's importance; the rest is its content's.
 PRESENTATION = 0.25
 #: A site shows no template before it has so many different pages.
@@ -159,20 +161,25 @@ def _hash(text: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _branches(page: str) -> tuple[int, list[tuple[str, list[int], int]]]:
-    """A hash of all of a page's text, and for each branch its contents and how its blocks are presented."""
-    contents: dict[str, dict[int, None]] = defaultdict(dict)
+def _branches(page: str) -> tuple[int, list[tuple[str, bool, list[int], int]]]:
+    """A hash of a page's text (its main text, if it names one), and its branches.
+
+    For each branch: whether it is of main text, its contents, and how the blocks beside it are presented.
+    """
+    found = [b for b in blocks(page) if not b.noise]
+    contents: dict[tuple[str, bool], dict[int, None]] = defaultdict(dict)
     shapes: dict[str, list[str]] = defaultdict(list)
     whole = xxhash.xxh64()
-    for b in blocks(page):
-        whole.update(b.text.encode())
-        if b.noise or b.main:
-            continue
-        contents[b.path][_hash(b.text)] = None
+    named = any(b.main for b in found)
+    for b in found:
+        if b.main or not named:
+            whole.update(b.text.encode())
+        contents[b.path, b.main][_hash(b.text)] = None
         shapes[b.path.rpartition("/")[0]].append(b.path)
+    beside = {parent: _hash(" ".join(paths)) for parent, paths in shapes.items()}
     value = whole.intdigest()
-    found = [(p, list(c), _hash(" ".join(shapes.get(p.rpartition("/")[0], ())))) for p, c in contents.items()]
-    return value - (1 << 64) if value >> 63 else value, found
+    out = [(p, main, list(c), beside[p.rpartition("/")[0]]) for (p, main), c in contents.items()]
+    return value - (1 << 64) if value >> 63 else value, out
 
 
 def site_of(url: str):
@@ -182,36 +189,36 @@ def site_of(url: str):
 
 
 def style_tree(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """Columns ``host``, ``path``, ``pages``, ``presentation``, ``content`` and ``importance`` of every branch.
+    """Columns ``host``, ``path``, ``main``, ``pages``, ``presentation``, ``content`` and ``importance`` of every branch.
 
     Pages of a site are laid over one another: a branch is a path of elements with
     their classes. With m different pages that have it, the importance of its
     presentation is the entropy, to base m, of the sequences of blocks beside it; that of its content is 1
     less the mean, over its texts, of the entropy to base m of the pages
-    that have the text: a text on all pages says nothing. Equal pages count once, so a
-    group of copies is no template. Branches of main text or of elements that name
-    themselves as none are decided by that and are not in the tree.
+    that have the text: a text on all pages says nothing. Pages with equal main text count once, so a
+    group of copies is no template; of what else they have, the least counts. Branches of elements
+    that name themselves as no main text are decided by that and are not in the tree.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (host, whole, path, contents, shape)
+                (host, whole, path, main, contents, shape)
                 for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
                 for whole, found in [_branches(text or "")]
-                for path, contents, shape in found
+                for path, main, contents, shape in found
             ]
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            kinds = [pa.string(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.int64()]
+            columns = list(zip(*rows, strict=True)) or [()] * 6
+            kinds = [pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.list_(pa.int64()), pa.int64()]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    names = ["host", "whole", "path", "contents", "shape"]
+    names = ["host", "whole", "path", "main", "contents", "shape"]
     parsed = pages.select(site_of(url).alias("host"), F.col(f"`{page}`").alias("html")).mapInArrow(
-        run, "host string, whole long, path string, contents array<long>, shape long"
+        run, "host string, whole long, path string, main boolean, contents array<long>, shape long"
     )
-    nodes = parsed.groupBy("host", "path", "whole").agg(F.first("contents").alias("contents"), F.first("shape").alias("shape"))
-    nodes = materialize(nodes, "branches")
-    branch = ["host", "path"]
+    branch = ["host", "path", "main"]
+    nodes = parsed.groupBy(*branch, "whole").agg(F.min(F.struct("contents", "shape")).alias("n"))
+    nodes = materialize(nodes.select(*branch, "n.contents", "n.shape"), "branches")
     shapes = nodes.groupBy(*branch, "shape").agg(F.count("*").alias("n"))
     shapes = shapes.groupBy(*branch).agg(
         F.sum("n").alias("pages"), F.sum(F.col("n") * F.log(F.col("n").cast("double"))).alias("spread")
@@ -234,12 +241,12 @@ def style_tree(pages: DataFrame, url: str = "url", page: str = "html") -> DataFr
 def main_text(page: str, removed: set[str]) -> str:
     """The blocks that are left, in their order with a blank between them.
 
-    A page with an article or main element has its text there; of any other page
-    the branches that the site's tree finds important are taken.
+    Branches that the site's tree finds of low importance are taken out of every page. A
+    page with an article or main element has its text there.
     """
     kept = [b for b in blocks(page) if not b.noise]
-    chosen = [b for b in kept if b.main] or [b for b in kept if b.path not in removed]
-    return " ".join(b.text for b in chosen)
+    named = any(b.main for b in kept)
+    return " ".join(b.text for b in kept if b.main == named and b.path not in removed)
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
@@ -249,7 +256,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     Pages move only if the removed branches of all sites are more than ``BROADCAST_BRANCHES``.
     """
     tree = style_tree(pages, url, page)
-    low = tree.where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE))
+    least = F.when(F.col("main"), LEAST_MAIN).otherwise(LEAST_IMPORTANCE)
+    low = tree.where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < least))
     low = materialize(low.groupBy("host").agg(F.collect_set("path").alias("removed"), F.count("*").alias("n")), "removed")
     total = low.agg(F.sum("n")).first()[0] or 0
     low = low.drop("n")

@@ -150,6 +150,15 @@ def test_templates_of_a_site_go(spark, monkeypatch):
     assert sites.extract(pages.limit(0)).count() == 0
 
 
+def test_template_branches_go_inside_main_text_too(spark):
+    html = "<nav>n {0}</nav><article><h2>Story {0}</h2><div class=share>Share this {1}</div><p>Own text {0}</p></article><p>beside {0}</p>"
+    rows = [(i, "https://news.org/a", html.format(i, "now")) for i in range(6)]
+    # One article over and over, with other things around it, is no template.
+    rows += [(10 + i, "https://copy.org/a", f"<article><p>Told again</p></article><p>ad {i}</p>") for i in range(9)]
+    found = {r["page_id"]: r["text"] for r in sites.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: f"Story {i} Own text {i}" for i in range(6)} | {10 + i: "Told again" for i in range(9)}
+
+
 def test_archives_are_read_back_as_written(spark):
     rows = [(i, f"http://x/{i}", "same" if i % 3 == 0 else f"own {i}") for i in range(30)] + [(40, None, None), (41, "u", ""), (30, "r", "q"), (30, "r", "q")]
     pages = spark.createDataFrame([(*r, "k") for r in rows], "page_id long, url string, html string, key string")
