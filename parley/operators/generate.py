@@ -130,9 +130,14 @@ def chat_history(
     role: str = "role",
     text: str = "text",
     system: str = CHAT_SYSTEM_PROMPT,
+    compact: bool = False,
 ) -> DataFrame:
     """For each user turn, everything said up to and including it.
 
+    Histories repeat what was said before, so their size is quadratic in the turns. ``compact`` gives one row a
+    conversation with a user turn instead: its ``messages`` once, and ``points``, which say for each user turn up to
+    which message its history goes; ``slice(messages, 1, upto)`` is that history.
+
     A conversation without a system turn of its own starts with ``system``. It
     ends at the first blank user turn. Histories are cut from the folded
     conversation one row at a time, so no task holds more than one of them.
@@ -163,13 +168,18 @@ def chat_history(
         F.when(own, heard).otherwise(F.concat(opening, heard)).alias("_chat"),
         F.when(own, 0).otherwise(1).alias("_shift"),
     )
-    spoken = F.transform("_turns", lambda t: F.struct(t["at"].alias("at"), t["role"].alias("role")))
-    return (
-        chats.select(conversation, "_chat", "_shift", F.posexplode(spoken).alias("_i", "_t"))
-        .where(F.col("_t.role") == USER)
-        .select(
-            conversation,
-            F.col("_t.at").alias(turn),
-            F.slice("_chat", F.lit(1), F.col("_i") + F.col("_shift") + 1).alias("messages"),
-        )
+    points = F.filter(
+        F.transform(
+            "_turns",
+            lambda t, i: F.struct(
+                t["at"].alias(turn), (i + F.col("_shift") + 1).alias("upto"), (t["role"] == USER).alias("user")
+            ),
+        ),
+        lambda p: p["user"],
+    )
+    if compact:
+        told = F.transform(points, lambda p: F.struct(p[turn].alias(turn), p["upto"].alias("upto")))
+        return chats.select(conversation, F.col("_chat").alias("messages"), told.alias("points")).where(F.size("points") > 0)
+    return chats.select(conversation, "_chat", F.explode(points).alias("_p")).select(
+        conversation, F.col("_p")[turn].alias(turn), F.slice("_chat", F.lit(1), F.col("_p.upto")).alias("messages")
     )

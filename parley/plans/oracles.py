@@ -115,6 +115,12 @@ SELECT conv_id, turn, CASE WHEN {test} THEN u END AS user_text, CASE WHEN {test}
 
 _BIN = "least(floor((v - low) / (high - low) * {bins}), {bins} - 1)"
 
+_TOLD = f"""WITH t AS (SELECT conv_id, turn, role, trim(text, {_text(WHITESPACE)}) AS content, (conv_id + turn) % 6 = 4 AS blank FROM conversations),
+s AS (SELECT conv_id, min(turn) FILTER (blank AND role = 'user') AS stop, bool_or(role = 'system') AS own FROM t GROUP BY conv_id),
+told AS (SELECT t.conv_id, turn, role, CASE WHEN blank THEN '' ELSE content END AS content FROM t JOIN s USING (conv_id) WHERE stop IS NULL OR turn < stop),
+lines AS (SELECT conv_id, turn, role, content FROM told
+  UNION ALL SELECT conv_id, -1, 'system', {_text(CHAT_SYSTEM_PROMPT)} FROM s WHERE NOT own)"""
+
 ORACLES = {
     "nfkc_text": "SELECT doc_id, text || '1fi\u30ac\u00e9' AS text FROM documents",
     "normalized_text": f"""SELECT doc_id, {normal("CASE WHEN doc_id % 5 = 3 THEN regexp_replace(text, '" + chr(92) + "n+', chr(10) || chr(10), 'g') ELSE text END")} AS text FROM documents""",
@@ -244,14 +250,15 @@ SELECT *, round(generated_tokens / greatest(latency_sec, 1e-6), 3) AS tokens_per
 UNION ALL SELECT item_id + 1, '## Case ' || (item_id + 1) || {_NL} || {_NL} || '**Prompt**' || {_NL} || {_NL} || text || {_NL} || {_NL} ||
   '**Base**' || {_NL} || {_NL} || 'You said: ' || trim(text, {_text(WHITESPACE)}) || {_NL} || {_NL} ||
   '**Tuned**' || {_NL} || {_NL} || trim(replace(text, ' ', '-'), {_text(WHITESPACE)}) || {_NL} FROM benchmark""",
-    "chat_histories": f"""WITH t AS (SELECT conv_id, turn, role, trim(text, {_text(WHITESPACE)}) AS content, (conv_id + turn) % 6 = 4 AS blank FROM conversations),
-s AS (SELECT conv_id, min(turn) FILTER (blank AND role = 'user') AS stop, bool_or(role = 'system') AS own FROM t GROUP BY conv_id),
-told AS (SELECT t.conv_id, turn, role, CASE WHEN blank THEN '' ELSE content END AS content FROM t JOIN s USING (conv_id) WHERE stop IS NULL OR turn < stop),
-lines AS (SELECT conv_id, turn, role, content FROM told
-  UNION ALL SELECT conv_id, -1, 'system', {_text(CHAT_SYSTEM_PROMPT)} FROM s WHERE NOT own),
+    "chat_histories": f"""{_TOLD},
 running AS (SELECT conv_id, turn, role, string_agg('<|' || role || '|>' || {_NL} || content || {_NL}, {_NL})
   OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS h FROM lines)
 SELECT conv_id, turn, trim(h, {_text(WHITESPACE)}) AS history FROM running WHERE role = 'user' AND turn >= 0""",
+    "chat_points": f"""{_TOLD},
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place FROM lines)
+SELECT conv_id, trim(string_agg('<|' || role || '|>' || {_NL} || content || {_NL}, {_NL} ORDER BY turn), {_text(WHITESPACE)}) AS chat,
+  string_agg(turn || ':' || place, ',' ORDER BY turn) FILTER (role = 'user' AND turn >= 0) AS points
+FROM numbered GROUP BY conv_id HAVING bool_or(role = 'user' AND turn >= 0)""",
     "workflow_split": f"""WITH {_CLEANED},
 chosen AS (SELECT conv_id FROM firsts JOIN keyed USING (conv_id) WHERE is_pair),
 {_exact_split('chosen', 'conv_id', 0.1, 0.1)},

@@ -535,15 +535,26 @@ def comparison_report(spark, sf):
     return compare_markdown(compare_runs(*_runs(spark, sf)))
 
 
-@query
-def chat_histories(spark, sf):
-    turns = table(spark, sf, "conversations").withColumn(
+def _talks(spark, sf):
+    return table(spark, sf, "conversations").withColumn(
         "text", F.when((F.col("conv_id") + F.col("turn")) % 6 == 4, F.lit(" \u3000")).otherwise(F.concat(F.lit("\t"), F.col("text")))
     )
-    history = chat_history(turns)
+
+
+@query
+def chat_histories(spark, sf):
+    history = chat_history(_talks(spark, sf))
     return history.select("conv_id", "turn", render_chat(F.col("messages")).alias("history"))
 
 
+@query
+def chat_points(spark, sf):
+    """Histories in their compact form: each chat once, and where every user turn's history ends in it."""
+    chats = chat_history(_talks(spark, sf), compact=True)
+    points = F.array_join(F.transform("points", lambda p: F.concat_ws(":", p["turn"], p["upto"])), ",")
+    return chats.select("conv_id", render_chat(F.col("messages")).alias("chat"), points.alias("points"))
+
+
 @query
 def workflow_split(spark, sf):
     """The flagship: clean, deduplicate, convert and split, then profile each split."""

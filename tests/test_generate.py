@@ -83,6 +83,9 @@ def test_chat_history(spark):
         (1, 2): [("system", "sys"), ("user", "hi"), ("assistant", "hello"), ("user", "bye")],
         (2, 1): [("system", "own"), ("user", "a")],
     }
+    compact = chat_history(df, system="sys", compact=True).collect()
+    cut = {(r["conv_id"], p["turn"]): [tuple(m) for m in r["messages"][: p["upto"]]] for r in compact for p in r["points"]}
+    assert cut == got and sorted(r["conv_id"] for r in compact) == [1, 2]
 
 
 def test_evaluate_loss(spark):
