@@ -21,7 +21,7 @@ from parley.session import materialize
 #: Bytes of joined fragments that a tokenizer is given at a time.
 ENCODE_BYTES = 1 << 18
 #: Bytes of text whose fragments have a dictionary in common; a longer text has its own.
-FRAGMENT_BYTES = 8 << 20
+FRAGMENT_BYTES = 4 << 20
 #: Non-zero products that a matrix product holds at a time, beside the rest of one row.
 PRODUCT_ENTRIES = 1 << 20
 
@@ -299,7 +299,9 @@ def _chunked(path_a: str, path_b: str, kind: str):
             # A space before each text that is not empty.
             offsets = np.r_[0, np.cumsum(np.diff(raw_at) + full)]
             data = np.full(offsets[-1], 0x20, np.uint8)
-            data[np.arange(len(raw)) + np.repeat(np.cumsum(full), np.diff(raw_at))] = raw
+            given = np.ones(len(data), bool)
+            given[offsets[:-1][full]] = False
+            data[given] = raw
             begins = _cuts(data, np.r_[offsets[:-1][full], len(data)])
             words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(np.r_[begins, len(data)].astype(np.int64)), pa.py_buffer(data)])
             coded = words.dictionary_encode()
