@@ -35,11 +35,6 @@ def _lowered(data: np.ndarray) -> np.ndarray:
     return data + np.uint8(32) * ((data >= ord("A")) & (data <= ord("Z"))).astype(np.uint8)
 
 
-def tail(word: bytes) -> int:
-    """The shared class of a token that is not among the commonest."""
-    return HEAD + zlib.crc32(word[-SUFFIX:]) % TAILS
-
-
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Token numbers of all texts, offsets of the texts in them, and the tokens by number.
 
@@ -149,22 +144,27 @@ def _chunked(kind: str):
                 *(pa.array([pack(x)], pa.binary()) for x in (at, found)),
                 pa.array([names], pa.list_(pa.binary())),
                 pa.array([n], pa.list_(pa.int64())),
-                pa.array([[tail(w) for w in names]], pa.list_(pa.int32())),
             ]
-            yield pa.record_batch(row, ["chunk", "keys", "trains", "at", "tokens", "word", "n", "tail"])
+            yield pa.record_batch(row, ["chunk", "keys", "trains", "at", "tokens", "word", "n"])
 
-    schema = f"chunk long, keys array<{kind}>, trains array<boolean>, at binary, tokens binary, word array<binary>, n array<long>, tail array<int>"
+    schema = f"chunk long, keys array<{kind}>, trains array<boolean>, at binary, tokens binary, word array<binary>, n array<long>"
     return run, schema
 
 
+def tail(word: Column) -> Column:
+    """The shared class of a token that is not among the commonest."""
+    return F.lit(HEAD) + F.crc32(F.substring(word, -SUFFIX, SUFFIX)) % TAILS
+
+
 def token_counts(chunks: DataFrame) -> DataFrame:
-    """Columns ``word``, ``count`` and ``class`` of all tokens of training texts; the commonest have classes of their own."""
-    found = entries(chunks, ["word", "n", "tail"]).groupBy("word").agg(F.sum("n").alias("count"), F.min("tail").alias("tail"))
-    counts = materialize(found.where("count > 0"), "token-counts")
-    first = counts.orderBy(F.desc("count"), "word").limit(HEAD)
+    """Columns ``word``, ``count`` and ``class`` of all tokens, counted in training texts; the commonest have classes of their own."""
+    counts = entries(chunks, ["word", "n"]).groupBy("word").agg(F.sum("n").alias("count"))
+    counts = materialize(counts, "token-counts")
+    first = counts.where("count > 0").orderBy(F.desc("count"), "word").limit(HEAD)
     place = (F.row_number().over(Window.orderBy(F.desc("count"), "word")) - 1).alias("place")
     own = F.broadcast(first.select("word", place))  # HEAD rows
-    return counts.join(own, "word", "left").select("word", "count", F.coalesce("place", "tail").alias("class"))
+    of = F.coalesce("place", tail(F.col("word"))).cast("long")
+    return counts.join(own, "word", "left").select("word", "count", of.alias("class"))
 
 
 @dataclass
@@ -177,7 +177,8 @@ class Totals:
     @classmethod
     def of(cls, counts: DataFrame) -> Totals:
         out = cls(np.zeros(CLASSES), np.zeros(CLASSES))
-        for r in counts.groupBy("class").agg(F.sum("count").alias("tokens"), F.count("*").alias("types")).collect():
+        known = counts.where("count > 0")
+        for r in known.groupBy("class").agg(F.sum("count").alias("tokens"), F.count("*").alias("types")).collect():
             out.tokens[r["class"]], out.types[r["class"]] = r["tokens"], r["types"]
         return out
 
@@ -200,9 +201,8 @@ def _coded(totals: list[list[float]], kind: str):
             c = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             for r in range(batch.num_rows):
                 at, found = unpack(c["at"][r].as_py()), unpack(c["found"][r].as_py())
-                tails = c["tail"][r].values.to_numpy()
-                count, own = (spread(c["found_by"], r, len(tails), x, np.int64) for x in ("count", "class"))
-                classes = np.where(count > 0, own, tails)
+                words_here = int(found.max()) + 1 if len(found) else 0
+                count, classes = np.divmod(spread(c["known"], r, words_here, "told", np.int64), CLASSES)
                 values = (count > 0).astype(np.int64), np.log10((count + 1.0) / everything), known.within(count, classes)
                 n = [np.diff(at), *(sums(v[found], at) for v in values)]
                 number = c["chunk"][r].as_py()
@@ -319,8 +319,9 @@ def score_texts(df: DataFrame, trains: Column, text: str = "text", key: str = "d
     chunks = materialize(rows.mapInArrow(run, schema), "tokens")
     counts = token_counts(chunks)
     totals = Totals.of(counts)
-    joined = look_up(chunks, ["word"], counts, ["count", "class"])
-    ready = joined.select("chunk", "keys", "trains", "at", F.col("tokens").alias("found"), "tail", F.col("found").alias("found_by"))
+    told = counts.select("word", (F.col("count") * CLASSES + F.col("class")).alias("told"))
+    joined = look_up(chunks, ["word"], told, ["told"])
+    ready = joined.select("chunk", "keys", "trains", "at", F.col("tokens").alias("found"), F.col("found").alias("known"))
     run, schema = _coded([totals.tokens.tolist(), totals.types.tolist()], kind)
     path = scratch_path(spark, "classes")
     coded = ready.mapInArrow(run, schema)

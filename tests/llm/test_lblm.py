@@ -117,3 +117,9 @@ def test_contexts_begin_anew_in_each_text():
 def test_classes_of_words_do_not_depend_on_the_chunk():
     found, at, names = lblm.tokens(pa.array(["B a", None, "a"]))
     assert [names[i] for i in found] == [b"b", b"a", b"", b"", b"a", b""] and at.tolist() == [0, 3, 4, 6]
+
+
+def test_shared_classes_go_by_the_last_bytes(spark):
+    names = [b"", b"a", b"ba", b"xyz", "Äé".encode()]
+    rows = spark.createDataFrame([(w,) for w in names], "w binary").select("w", lblm.tail(F.col("w")).alias("c")).collect()
+    assert all(r["c"] == lblm.HEAD + zlib.crc32(bytes(r["w"])[-lblm.SUFFIX :]) % lblm.TAILS for r in rows) and len(rows) == 5
