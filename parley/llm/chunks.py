@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from parley.llm.arrays import slices
 
 #: Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 
 def numbered(batches: Iterator[pa.RecordBatch], text: int, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.RecordBatch]]:

@@ -123,7 +123,8 @@ class Net:
 
 def contexts(classes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The classes two and one tokens before each token; a start class stands before a text."""
-    one, two = np.r_[_START, classes[:-1]], np.r_[_START, _START, classes[:-2]][: len(classes)]
+    start = np.array([_START, _START], classes.dtype)
+    one, two = np.r_[start[:1], classes[:-1]], np.r_[start, classes[:-2]][: len(classes)]
     begins = offsets[:-1][np.diff(offsets) > 0]
     one[begins] = two[begins] = _START
     second = begins + 1
@@ -235,7 +236,7 @@ def _taught(net: bytes, share: bytes, turn: int):
         seen = 0
         for batch in batches:
             for trains, offsets, packed in zip(*batch.columns, strict=True):
-                at, classes = unpack(offsets.as_py()), unpack(packed.as_py())
+                at, classes = unpack(offsets.as_py()), unpack(packed.as_py()).astype(np.int16)
                 two, one = contexts(classes, at)
                 some = np.repeat(trains.values.to_numpy(zero_copy_only=False), np.diff(at))
                 two, one, classes = two[some], one[some], classes[some]
@@ -289,9 +290,12 @@ def _scored(net: bytes):
         for batch in batches:
             c = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             for r in range(batch.num_rows):
-                at, classes = unpack(c["at"][r].as_py()), unpack(c["classes"][r].as_py())
+                at, classes = unpack(c["at"][r].as_py()), unpack(c["classes"][r].as_py()).astype(np.int16)
                 two, one = contexts(classes, at)
-                value = (near[one, classes].astype(np.float64) + far[two, classes] - total[one, two]) / np.log(10)
+                value = near[one, classes].astype(np.float64)
+                value += far[two, classes]
+                value -= total[one, two]
+                value /= np.log(10)
                 score = sums(value, at) + c["within"][r].values.to_numpy()
                 counts = [c[x][r].values for x in ("keys", "n_tokens", "n_known", "base")]
                 yield pa.record_batch([*counts, pa.array(score)], ["key", "n_tokens", "n_known", "base_score", "score"])
