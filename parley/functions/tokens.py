@@ -3,7 +3,8 @@
 Two native tokenizers need no Python: ``"words"`` counts with a regular
 expression, ``"codepoints"`` maps each character to its code point. A real
 tokenizer is plugged in as a *factory*: a picklable zero-argument callable that
-builds, once per task, a function from a list of texts to a list of id lists.
+builds, once per task, a function from a list of texts to a list of id lists;
+or as a ``Vocabulary``, whose tokens are matched longest first.
 Plugged-in functions are declared non-deterministic so that each text is
 encoded exactly once.
 """
@@ -17,6 +18,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parley.functions.vocabulary import Vocabulary, counted, encoded
+
 Encode = Callable[[list[str]], list[list[int]]]
 TokenizerFactory = Callable[[], Encode]
 
@@ -61,8 +64,16 @@ def _count_udf(factory: TokenizerFactory):
     return F.arrow_udf(count, T.LongType()).asNondeterministic()
 
 
-def token_count(text: Column, tokenizer: str | TokenizerFactory = "words") -> Column:
+def token_list(text: Column) -> Column:
+    """The tokens that ``"words"`` counts, as strings; null stays null."""
+    return F.regexp_extract_all(text, F.lit(f"[{LATIN}]+|[^{LATIN}{BLANK}]"), F.lit(0))
+
+
+def token_count(text: Column, tokenizer: str | TokenizerFactory | Vocabulary = "words") -> Column:
     """Number of tokens, without special ones; null stays null."""
+    if isinstance(tokenizer, Vocabulary):
+        count = F.arrow_udf(counted(tokenizer), T.LongType()).asNondeterministic()
+        return F.when(text.isNotNull(), count(text))
     if callable(tokenizer):
         return F.when(text.isNotNull(), _count_udf(tokenizer)(text))
     if tokenizer == "words":
@@ -74,8 +85,11 @@ def token_count(text: Column, tokenizer: str | TokenizerFactory = "words") -> Co
     raise ValueError(f"unknown tokenizer {tokenizer!r}")
 
 
-def token_ids(text: Column, tokenizer: str | TokenizerFactory = "codepoints") -> Column:
+def token_ids(text: Column, tokenizer: str | TokenizerFactory | Vocabulary = "codepoints") -> Column:
     """Token ids, without special ones; null stays null."""
+    if isinstance(tokenizer, Vocabulary):
+        encode = F.arrow_udf(encoded(tokenizer), T.ArrayType(T.IntegerType())).asNondeterministic()
+        return F.when(text.isNotNull(), encode(text))
     if callable(tokenizer):
         return F.when(text.isNotNull(), _encode_udf(tokenizer)(text))
     if tokenizer == "codepoints":

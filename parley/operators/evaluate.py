@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,11 +26,14 @@ def score_rows(ids: Column, scorer: ScorerFactory) -> Column:
     return F.arrow_udf(score, T.DoubleType()).asNondeterministic()(ids)
 
 
-def evaluate_loss(df: DataFrame, scorer: ScorerFactory | Column, ids: str = "input_ids") -> DataFrame:
-    """Mean loss over rows, each row counting once, and its perplexity."""
+def evaluate_loss(
+    df: DataFrame, scorer: ScorerFactory | Column, ids: str = "input_ids", by: Sequence[str] = ()
+) -> DataFrame:
+    """Mean loss over rows, each row counting once, and its perplexity; over all of them or per ``by``."""
     loss = scorer if isinstance(scorer, Column) else score_rows(F.col(ids), scorer)
     return (
-        df.select(loss.alias("loss"))
+        df.select(*by, loss.alias("loss"))
+        .groupBy(*by)
         .agg(F.count(F.lit(1)).alias("rows"), F.avg("loss").alias("loss"))
         .withColumn("perplexity", perplexity(F.col("loss")))
     )

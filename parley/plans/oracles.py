@@ -240,6 +240,31 @@ SELECT *, floor(total_steps * 0.03)::BIGINT AS warmup_steps FROM t""",
     "evaluated_loss": f"""WITH {_CHATS}, t AS (SELECT {_TAGGED} AS text FROM chats GROUP BY conv_id),
 l AS (SELECT list_avg(list_transform(string_split(text, ''), lambda c: ln(1 + unicode(c)))) AS v FROM t)
 SELECT count(*) AS rows, round(avg(v), 6) AS loss, round(exp(avg(v)), 4) AS perplexity FROM l""",
+    "unigram_loss": f"""WITH {_CHATS}, {_exact_split('paired', 'conv_id', 0.2, 0.2)},
+t AS (SELECT conv_id, {_TAGGED} AS text FROM chats GROUP BY conv_id),
+w AS (SELECT split, conv_id, unnest(regexp_extract_all(text, '[{LATIN}]+|[^{LATIN}{BLANK}]')) AS token FROM t JOIN parts USING (conv_id)),
+c AS (SELECT token, count(*) AS n FROM w WHERE split = 'train' GROUP BY token),
+a AS (SELECT sum(n) + count(*) + 1 AS everything FROM c),
+l AS (SELECT split, conv_id, avg(-ln((coalesce(n, 0) + 1)::DOUBLE / everything)) AS loss
+      FROM w LEFT JOIN c USING (token), a WHERE split <> 'train' GROUP BY split, conv_id)
+SELECT split, count(*) AS rows, round(avg(loss), 6) AS loss, round(exp(avg(loss)), 3) AS perplexity FROM l GROUP BY split""",
+    "vocabulary_tokens": f"""WITH RECURSIVE words AS (
+  SELECT unnest(regexp_extract_all(text, '[{LATIN}]+|[^{LATIN}{BLANK}]')) AS token FROM benchmark
+  UNION SELECT unnest(string_split(text, '')) FROM benchmark),
+vocabulary AS (SELECT token, ('0x' || substr(sha1(token), 1, 7))::BIGINT AS id, length(token) AS n FROM words WHERE token <> ''),
+places AS (SELECT conv_id, turn, text, unnest(range(1, length(text) + 1)) AS place FROM conversations),
+parts AS (SELECT conv_id, turn, place, substr(text, place, n) AS token FROM places, (SELECT DISTINCT n FROM vocabulary)
+          WHERE place + n - 1 <= length(text)),
+best AS (SELECT conv_id, turn, place, max(n) AS n, arg_max(id, n) AS id FROM parts JOIN vocabulary USING (token) GROUP BY ALL),
+jumps AS MATERIALIZED (SELECT conv_id, turn, place, place + coalesce(n, 1) AS onward, coalesce(id, -1) AS id
+          FROM places LEFT JOIN best USING (conv_id, turn, place)),
+walk AS (SELECT conv_id, turn, 1::BIGINT AS place, 0 AS step, NULL::BIGINT AS id FROM conversations
+  UNION ALL SELECT w.conv_id, w.turn, j.onward, w.step + 1, j.id FROM walk w JOIN jumps j USING (conv_id, turn, place))
+SELECT conv_id, turn, max(step)::BIGINT AS tokens, coalesce(string_agg(id, ' ' ORDER BY step) FILTER (step > 0), '') AS ids
+FROM walk GROUP BY conv_id, turn""",
+    "token_sketches": f"""WITH l AS (SELECT lang AS split, {tokens("'<|user|>' || chr(10) || text")} AS v FROM documents)
+SELECT split, count(*) AS seen, count(v) AS kept, min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean, true AS p95_is_near
+FROM l GROUP BY split""",
     "generated_replies": f"SELECT item_id + 1 AS ord, 'You said: ' || trim(text, {_text(WHITESPACE)}) AS reply FROM benchmark",
     "generation_speed": f"""WITH t AS (SELECT text AS prompt, ((item_id + 1) % 5) / 8.0::DOUBLE AS latency_sec,
   {tokens("replace(text, ' ', '-')")} AS generated_tokens FROM benchmark)

@@ -25,7 +25,8 @@ from parley.functions.messages import (
 from parley.functions.metrics import perplexity
 from parley.functions.roles import normalize_role
 from parley.functions.text import char_length, compact_text, nfkc, normalize_text, strip
-from parley.functions.tokens import token_count
+from parley.functions.tokens import token_count, token_ids, token_list
+from parley.functions.vocabulary import Vocabulary
 from parley.operators.clean import clean_counts, convert_chat, normalize_rows, remove_duplicates, remove_null
 from parley.operators.evaluate import evaluate_loss
 from parley.operators.generate import (
@@ -36,9 +37,12 @@ from parley.operators.generate import (
     generation_benchmark,
 )
 from parley.operators.profile import (
+    SKETCH_ERROR,
     dataset_stats,
     length_counts,
     length_histogram,
+    length_sketches,
+    merge_sketches,
     preview,
     text_lengths,
     token_stats,
@@ -46,6 +50,7 @@ from parley.operators.profile import (
 from parley.operators.sft import to_training_text, tokenize_sft, training_plan
 from parley.operators.splits import head_per_split, pick_example, select_eval_split, split_dataset
 from parley.operators.turns import fold_turns, unfold_turns
+from parley.operators.unigram import fit_unigram, unigram_losses
 from parley.plans.inputs import (
     NAMES,
     chats,
@@ -413,6 +418,23 @@ def token_stats_of_first_rows(spark, sf):
     return stats.withColumns({"p95": F.round("p95", 6), "mean": F.round("mean", 6)})
 
 
+@query
+def token_sketches(spark, sf):
+    """Statistics from saved sketches; the rank of the percentile is looked up among all lengths."""
+    lengths = materialize(text_lengths(_documents_by_language(spark, sf), keep=["split"]), "lengths")
+    saved = materialize(length_sketches(lengths), "sketches")
+    found = merge_sketches(saved, ["split"])
+    ranks = lengths.join(found.select("split", "p95", "kept"), "split").groupBy("split").agg(
+        F.avg((F.col("token_length") < F.col("p95")).cast("double")).alias("below"),
+        F.avg((F.col("token_length") <= F.col("p95")).cast("double")).alias("upto"),
+    )
+    slack = SKETCH_ERROR + 1 / F.col("kept")
+    near = (F.col("below") <= 0.95 + slack) & (F.col("upto") >= 0.95 - slack)
+    return found.join(ranks, "split").select(
+        "split", "seen", "kept", "min", "max", F.round("mean", 6).alias("mean"), near.alias("p95_is_near")
+    )
+
+
 @query
 def length_histograms(spark, sf):
     lengths = text_lengths(chats(spark, sf), max_rows=None)
@@ -497,6 +519,31 @@ def evaluated_loss(spark, sf):
     return found.withColumns({"loss": F.round("loss", 6), "perplexity": F.round("perplexity", 4)})
 
 
+@query
+def unigram_loss(spark, sf):
+    """Counts of the training split's tokens; losses of the other splits' whole texts by them."""
+    texts = to_training_text(_split_chats(spark, sf), "tagged")
+    tokens = texts.select("split", token_list(F.col("text")).alias("tokens"))
+    model = fit_unigram(tokens.where("split = 'train'"))
+    losses = unigram_losses(tokens.where("split <> 'train'"), model, keep=["split"])
+    found = evaluate_loss(losses, F.col("loss"), by=["split"])
+    return found.withColumns({"loss": F.round("loss", 6), "perplexity": F.round("perplexity", 3)})
+
+
+@query
+def vocabulary_tokens(spark, sf):
+    """All turns as tokens of a vocabulary table: the words and characters of the benchmark, numbered by a hash."""
+    texts = table(spark, sf, "benchmark").select("text")
+    words = texts.select(F.explode(F.concat(token_list(F.col("text")), F.split("text", ""))).alias("token")).distinct()
+    number = F.conv(F.substring(F.sha1("token"), 1, 7), 16, 10).cast("int")
+    vocabulary = Vocabulary.of(words.select("token", number.alias("id")))
+    turns = table(spark, sf, "conversations")
+    ids = turns.select("conv_id", "turn", token_ids(F.col("text"), vocabulary).alias("ids"))
+    return ids.select(
+        "conv_id", "turn", F.size("ids").cast("bigint").alias("tokens"), F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids")
+    )
+
+
 def _echo():
     """A stand-in for a chat model that answers with the whole chat."""
     return lambda messages, _: [*messages, {"role": "assistant", "content": f" You said: {messages[-1]['content']}\n"}]
