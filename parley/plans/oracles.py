@@ -284,6 +284,11 @@ numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS
 SELECT conv_id, trim(string_agg('<|' || role || '|>' || {_NL} || content || {_NL}, {_NL} ORDER BY turn), {_text(WHITESPACE)}) AS chat,
   string_agg(turn || ':' || place, ',' ORDER BY turn) FILTER (role = 'user' AND turn >= 0) AS points
 FROM numbered GROUP BY conv_id HAVING bool_or(role = 'user' AND turn >= 0)""",
+    "turn_runs": """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place, turn AS given, role, text AS content
+FROM conversations WHERE (conv_id + turn) % 13 <> 5""",
+    "lost_turns": "SELECT 'conv_id' AS missing, turn, role, text FROM conversations WHERE (conv_id + turn) % 13 = 5",
+    "chat_run_points": f"""{_TOLD}
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place, role, content, role = 'user' AND turn >= 0 AS is_point FROM lines""",
     "workflow_split": f"""WITH {_CLEANED},
 chosen AS (SELECT conv_id FROM firsts JOIN keyed USING (conv_id) WHERE is_pair),
 {_exact_split('chosen', 'conv_id', 0.1, 0.1)},

@@ -47,6 +47,7 @@ from parley.operators.profile import (
     text_lengths,
     token_stats,
 )
+from parley.operators.runs import chat_runs, fold_runs, rejected_turns, unfold_runs
 from parley.operators.sft import to_training_text, tokenize_sft, training_plan
 from parley.operators.splits import head_per_split, pick_example, select_eval_split, split_dataset
 from parley.operators.turns import fold_turns, unfold_turns
@@ -602,6 +603,34 @@ def chat_points(spark, sf):
     return chats.select("conv_id", render_chat(F.col("messages")).alias("chat"), points.alias("points"))
 
 
+def _lost(spark, sf):
+    """Turns of which every thirteenth has lost its conversation."""
+    number = F.when((F.col("conv_id") + F.col("turn")) % 13 != 5, F.col("conv_id"))
+    return table(spark, sf, "conversations").withColumn("conv_id", number)
+
+
+@query
+def turn_runs(spark, sf):
+    """Turns folded to short runs and unfolded again, with the place of each in its conversation."""
+    runs = fold_runs(_lost(spark, sf), "conv_id", "turn", {"turn": "given", "role": "role", "text": "content"}, run_bytes=600)
+    return unfold_runs(runs, turn="place")
+
+
+@query
+def lost_turns(spark, sf):
+    return rejected_turns(_lost(spark, sf), "conv_id").select("missing", "turn", "role", "text")
+
+
+@query
+def chat_run_points(spark, sf):
+    """Chats cut into short runs: every message with its place, and whether a history ends there."""
+    runs = chat_runs(_talks(spark, sf), run_bytes=400)
+    lines = runs.select("conv_id", "first", "points", F.posexplode("messages").alias("i", "m"))
+    place = F.col("first") + F.col("i")
+    ends = F.exists("points", lambda p: p["upto"] == place)
+    return lines.select("conv_id", place.alias("place"), "m.role", "m.content", ends.alias("is_point"))
+
+
 @query
 def workflow_split(spark, sf):
     """The flagship: clean, deduplicate, convert and split, then profile each split."""
