@@ -150,17 +150,43 @@ def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def message_rows(
+    df: DataFrame, keep: Sequence[str] = (), keep_other_fields: bool = False, null_policy: str = "missing"
+) -> DataFrame:
+    """Rows as normalised ``messages``, before any of them is left out: what profiles, counts and cleaning have in common.
+
+    ``_filled`` says whether the row, as it was given, holds messages with text; ``_row`` is the key of a row that
+    does, but has no messages. Split, position, ``keep`` and, if asked, scalars stay.
+    """
+    df = with_split(df)
+    kept = kept_columns(df, keep, keep_other_fields)
+    normal = normalize_rows(df.withColumn("_filled", has_messages(df, null_policy)))
+    return normal.select(
+        *kept, "_filled", to_messages(normal, null_policy).alias("messages"), _row_text_key(normal).alias("_row")
+    )
+
+
+def clean_messages(rows: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
+    """The cleaning stages over ``message_rows``: rows with text, the first of each key, and of those the chats."""
+    key = F.coalesce(content_key(F.col("messages")), F.col("_row"))
+    first = remove_duplicates(rows.where("_filled"), order_by, key=key)
+    return first.where(is_chat_pair(F.col("messages"))).drop("_filled", "_row")
+
+
 def clean_counts(df: DataFrame, null_policy: str = "missing") -> DataFrame:
-    """Rows that each cleaning stage leaves of each split, from one pass over the rows.
+    """Rows that each cleaning stage leaves of each split, from one pass over the rows."""
+    return message_counts(message_rows(df, null_policy=null_policy))
+
+
+def message_counts(rows: DataFrame) -> DataFrame:
+    """``clean_counts`` of rows that are ``message_rows`` already.
 
     Rows are counted by split and key first, map-side, so that a text that many rows share is one row
     of the shuffle: all its rows hold messages or none does, the first of them is what deduplication
     leaves, and equal messages make a chat or none. Splits that a stage empties have 0 rows.
     """
-    df = with_split(df)
-    normal = normalize_rows(df.withColumn("_filled", has_messages(df, null_policy)))
     # Rows without messages go before any key is made, and share one.
-    messages = normal.select(SPLIT, "_filled", to_messages(normal, null_policy).alias("_m"), _row_text_key(normal).alias("_row"))
+    messages = rows.select(SPLIT, "_filled", F.col("messages").alias("_m"), "_row")
     filled = F.col("_filled")
     key = F.when(filled, F.coalesce(content_key(F.col("_m")), F.col("_row")))
     pair = filled & is_chat_pair(F.col("_m"))

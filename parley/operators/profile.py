@@ -90,7 +90,17 @@ def text_lengths(
     """
     if max_rows is not None:
         df = head_per_split(df, max_rows, order_by)
-    texts = df.select(*keep, render_chat(to_messages(df), template).alias("_text"))
+    return message_lengths(df.select(*keep, to_messages(df).alias("messages")), tokenizer, template, keep)
+
+
+def message_lengths(
+    df: DataFrame,
+    tokenizer: str | TokenizerFactory = "words",
+    template: str | ChatTemplate = "tagged",
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """``text_lengths`` of rows that have their ``messages`` already."""
+    texts = df.select(*keep, render_chat(F.col("messages"), template).alias("_text"))
     return texts.select(
         *keep,
         char_length(F.col("_text")).alias("char_length"),

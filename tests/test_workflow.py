@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from parley.operators.clean import convert_chat, normalize_rows, remove_duplicates, remove_null
+from parley.operators.clean import clean_counts, convert_chat, normalize_rows, remove_duplicates, remove_null
 from parley.plans.inputs import untidy_conversations
+from parley.plans.stages import Stages
 from parley.plans.workflow import clean, run_workflow
 from parley.session import scratch_path
 from parley.sources.datasets import read_dataset, read_report, with_split
@@ -70,3 +72,52 @@ def test_clean_stream(spark, sf_dir):
     batch = clean_stream(raw, keep=["conv_id"])
     got = spark.read.schema(batch.schema).parquet(out)
     assert got.count() == batch.count() > 0 and got.exceptAll(batch).isEmpty()
+
+
+def _raw(spark, path, guard=None):
+    df = spark.read.parquet(path)
+    turns = F.col("conversations")
+    return df if guard is None else df.withColumn("conversations", F.when(F.raise_error(F.lit(guard)).isNull(), turns))
+
+
+def test_a_resumed_workflow_skips_what_is_finished(spark, sf_dir):
+    path, out = scratch_path(spark, "raw"), scratch_path(spark, "resumed")
+    untidy_conversations(spark, sf_dir).write.parquet(path)
+
+    def broken():
+        return 1 / 0
+
+    def run(df, **more):
+        return run_workflow(df, ["conv_id"], ["conv_id"], path=out, resume=True, test=0.1, validation=0.1, **more)
+
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        run(_raw(spark, path), training_tokenizer=broken)
+    before = {r["stage"]: r["path"] for r in spark.read.json(f"{out}/manifests/*").collect()}
+    assert "cleaned" in before and "training" not in before
+    # The raw rows cannot be read any more; what fails again is the stage that failed before.
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        run(_raw(spark, path, "raw rows are read again"), training_tokenizer=broken)
+    after = {r["stage"]: r["path"] for r in spark.read.json(f"{out}/manifests/*").collect()}
+    assert after == before
+
+
+def test_other_arguments_or_files_run_a_stage_anew(spark, sf_dir):
+    out = scratch_path(spark, "stages")
+    made = []
+
+    def build():
+        made.append(1)
+        return spark.range(5)
+
+    for arguments in ({"seed": 1}, {"seed": 1}, {"seed": 2}):
+        stage = Stages(spark, out, ["a.parquet"], arguments)
+        assert stage.table("five", build).count() == 5 and stage.rows("five") == 5
+    Stages(spark, out, ["a.parquet", "b.parquet"], {"seed": 2}).table("five", build)
+    assert len(made) == 3
+
+
+def test_stage_counts_are_exact_and_equal_the_cleaned_rows(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    done = run_workflow(df, ["doc_id"], ["doc_id"], skip_profile=True, skip_training=True)
+    assert done.counts["raw"] == df.count() and done.counts["chat"] == done.dataset.count()
+    assert {r["stage"]: r["rows"] for r in clean_counts(df).collect()} == done.counts
