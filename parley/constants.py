@@ -48,8 +48,6 @@ TRAIN, VALIDATION, TEST = "train", "validation", "test"
 TEST_FRACTION = 0.02
 VALIDATION_FRACTION = 0.02
 SEED = 42
-PROFILE_ROWS = 20_000
-EVAL_ROWS = 1_000
 HISTOGRAM_BINS = 50
 PREVIEW_ROWS, PREVIEW_COLUMNS = 3, 8
 MAX_LENGTH = 2048

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,7 +19,7 @@ from parley.constants import (
     SYSTEM,
     USER,
 )
-from parley.functions.messages import MESSAGES, extract_reply
+from parley.functions.messages import MESSAGES, ChatTemplate, extract_reply, render_chat
 from parley.functions.text import strip
 from parley.functions.tokens import TokenizerFactory, token_count
 from parley.operators.turns import fold_turns
@@ -78,11 +78,41 @@ def generate(
     return out.withColumn("reply", extract_reply(out, "generated")).drop("generated")
 
 
+def build_prompts(
+    df: DataFrame, prompt: str = "prompt", system: str | None = None, template: str | ChatTemplate = "chatml"
+) -> DataFrame:
+    """Add ``chat``, the messages that a model is asked with, and ``model_input``, the same as it reads them. Native.
+
+    ``prompt`` is a text column or a ``messages`` column; ``system`` opens every chat.
+    """
+    chat = F.col(prompt) if isinstance(df.schema[prompt].dataType, T.ArrayType) else user_message(F.col(prompt))
+    if system is not None:
+        chat = F.concat(F.array(F.struct(F.lit(SYSTEM).alias("role"), F.lit(system).alias("content"))), chat)
+    return df.withColumn("chat", chat).withColumn("model_input", render_chat(F.col("chat"), template, add_generation_prompt=True))
+
+
+def extract_replies(df: DataFrame, generated: str = "generated") -> DataFrame:
+    """Add ``reply`` from what a model gave back: its text, or the last message of the whole chat. Native."""
+    return df.withColumn("reply", extract_reply(df, generated))
+
+
+def speed_summary(speeds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Average and 95th percentile of latency, and tokens per second in all, of a ``generation_benchmark``; one row, or one per ``by``."""
+    total = F.sum("generated_tokens")
+    return speeds.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("prompts"),
+        F.avg("latency_sec").alias("avg_latency_sec"),
+        F.percentile("latency_sec", F.lit(0.95)).alias("p95_latency_sec"),
+        total.alias("generated_tokens"),
+        (total / F.greatest(F.sum("latency_sec"), F.lit(MIN_LATENCY_SEC))).alias("tokens_per_sec"),
+    )
+
+
 def generation_benchmark(
-    df: DataFrame, prompt: str = "prompt", tokenizer: str | TokenizerFactory = "words"
+    df: DataFrame, prompt: str = "prompt", tokenizer: str | TokenizerFactory = "words", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Per prompt: latency, generated tokens, tokens per second."""
-    timed = df.select(prompt, "latency_sec", token_count(F.col("reply"), tokenizer).alias("generated_tokens"))
+    timed = df.select(*keep, prompt, "latency_sec", token_count(F.col("reply"), tokenizer).alias("generated_tokens"))
     speed = F.col("generated_tokens") / F.greatest(F.col("latency_sec"), F.lit(MIN_LATENCY_SEC))
     return timed.withColumn("tokens_per_sec", speed)
 

@@ -121,6 +121,10 @@ told AS (SELECT t.conv_id, turn, role, CASE WHEN blank THEN '' ELSE content END
 lines AS (SELECT conv_id, turn, role, content FROM told
   UNION ALL SELECT conv_id, -1, 'system', {_text(CHAT_SYSTEM_PROMPT)} FROM s WHERE NOT own)"""
 
+# All untidy turns of a conversation in brackets, one after another, before the blank rules.
+_BRACKETED = f"""string_agg('[' || CASE WHEN (conv_id * 7 + turn) % 9 = 4 THEN '  ' || {_NL}
+  WHEN (conv_id + turn) % 3 = 1 THEN '  ' || text || {_NL} || ' ' ELSE text END || ']', ' ' ORDER BY turn)"""
+
 ORACLES = {
     "nfkc_text": "SELECT doc_id, text || '1fi\u30ac\u00e9' AS text FROM documents",
     "normalized_text": f"""SELECT doc_id, {normal("CASE WHEN doc_id % 5 = 3 THEN regexp_replace(text, '" + chr(92) + "n+', chr(10) || chr(10), 'g') ELSE text END")} AS text FROM documents""",
@@ -148,7 +152,7 @@ SELECT conv_id, position, CASE WHEN role = 'system' THEN role WHEN (position - l
     "dispatched_shapes": f"""WITH {_TURNS}
 SELECT conv_id, position, role, content FROM direct WHERE conv_id % 3 = 0
 UNION ALL SELECT conv_id, position, role, content FROM inferred WHERE conv_id % 3 = 1
-UNION ALL SELECT conv_id, 0, 'user', {normal('text')} FROM conversations WHERE conv_id % 3 = 2 AND turn = 0 AND (conv_id * 7 + turn) % 9 <> 4""",
+UNION ALL SELECT conv_id, 0, 'user', {normal(_BRACKETED)} FROM conversations WHERE conv_id % 3 = 2 GROUP BY conv_id""",
     "folded_turns": "SELECT conv_id, turn, role, text AS content FROM conversations",
     "chat_pairs": """SELECT conv_id, count(*) >= 2 AND arg_max(role, turn) = 'assistant' AND bool_or(role = 'user') AS is_pair
 FROM conversations GROUP BY conv_id""",
@@ -162,6 +166,8 @@ alls AS (SELECT c.conv_id, coalesce(key, '') AS key, turns FROM (SELECT conv_id,
 SELECT min(conv_id) AS conv_id, arg_min(turns, conv_id) AS turns FROM alls GROUP BY key""",
     "deduplicated_documents": f"SELECT lang AS split, min(doc_id) AS doc_id FROM documents GROUP BY lang, {compact('text')}",
     "deduplicated_globally": f"SELECT arg_min(source, doc_id) AS split, min(doc_id) AS doc_id FROM documents GROUP BY {compact('text')}",
+    "deduplicated_batches": f"""SELECT lang AS split, doc_id FROM documents
+QUALIFY row_number() OVER (PARTITION BY lang, {compact('text')} ORDER BY doc_id % 2, doc_id) = 1""",
     "converted_chats": f"""WITH {_TURNS},
 ok AS (SELECT conv_id FROM inferred GROUP BY conv_id HAVING count(*) >= 2 AND arg_max(role, turn) = 'assistant' AND bool_or(role = 'user')),
 n AS (SELECT conv_id, count(*)::INT AS turns FROM conversations GROUP BY conv_id)
@@ -265,7 +271,13 @@ FROM walk GROUP BY conv_id, turn""",
     "token_sketches": f"""WITH l AS (SELECT lang AS split, {tokens("'<|user|>' || chr(10) || text")} AS v FROM documents)
 SELECT split, count(*) AS seen, count(v) AS kept, min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean, true AS p95_is_near
 FROM l GROUP BY split""",
-    "generated_replies": f"SELECT item_id + 1 AS ord, 'You said: ' || trim(text, {_text(WHITESPACE)}) AS reply FROM benchmark",
+    "generated_replies": f"""SELECT item_id + 1 AS ord, 'You said: ' || trim(text, {_text(WHITESPACE)}) AS reply,
+  '<|im_start|>user' || {_NL} || text || '<|im_end|>' || {_NL} || '<|im_start|>assistant' || {_NL} AS model_input FROM benchmark""",
+    "generation_summary": f"""WITH t AS (
+  SELECT 'base' AS run, ((item_id + 1) % 5) / 8.0::DOUBLE AS s, {tokens("'You said: ' || text")} AS n FROM benchmark
+  UNION ALL SELECT 'tuned', ((item_id + 1) % 5) / 8.0::DOUBLE, {tokens("replace(text, ' ', '-')")} FROM benchmark)
+SELECT run, count(*) AS prompts, round(avg(s), 6) AS avg_latency_sec, round(quantile_cont(s, 0.95), 6) AS p95_latency_sec,
+  sum(n)::BIGINT AS generated_tokens, round(sum(n) / greatest(sum(s), 1e-6), 6) AS tokens_per_sec FROM t GROUP BY run""",
     "generation_speed": f"""WITH t AS (SELECT text AS prompt, ((item_id + 1) % 5) / 8.0::DOUBLE AS latency_sec,
   {tokens("replace(text, ' ', '-')")} AS generated_tokens FROM benchmark)
 SELECT *, round(generated_tokens / greatest(latency_sec, 1e-6), 3) AS tokens_per_sec FROM t""",

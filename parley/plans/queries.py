@@ -30,11 +30,13 @@ from parley.functions.vocabulary import Vocabulary
 from parley.operators.clean import clean_counts, convert_chat, normalize_rows, remove_duplicates, remove_null
 from parley.operators.evaluate import evaluate_loss
 from parley.operators.generate import (
+    build_prompts,
     chat_history,
     compare_markdown,
     compare_runs,
-    generate,
+    extract_replies,
     generation_benchmark,
+    speed_summary,
 )
 from parley.operators.profile import (
     SKETCH_ERROR,
@@ -48,6 +50,7 @@ from parley.operators.profile import (
     token_stats,
 )
 from parley.operators.runs import chat_runs, fold_runs, rejected_turns, unfold_runs
+from parley.operators.seen import SeenKeys
 from parley.operators.sft import to_training_text, tokenize_sft, training_plan
 from parley.operators.splits import head_per_split, pick_example, select_eval_split, split_dataset
 from parley.operators.turns import fold_turns, unfold_turns
@@ -236,7 +239,7 @@ def dispatched_shapes(spark, sf):
         "conv_id",
         F.when(third == 0, F.col("turns")).alias("messages"),
         F.when(third == 1, F.col("turns")).alias("conversations"),
-        F.get("turns", F.lit(0))["content"].alias("text"),
+        F.array_join(F.transform("turns", lambda t: F.concat(F.lit("["), t["content"], F.lit("]"))), " ").alias("text"),
     )
     return _unfold_messages(folded)
 
@@ -304,6 +307,18 @@ def deduplicated_globally(spark, sf):
     return remove_duplicates(docs, order_by=["doc_id"], scope="global").select("split", "doc_id")
 
 
+@query
+def deduplicated_batches(spark, sf):
+    """Two batches one after the other: documents with odd ids are met by the keys of those with even ones."""
+    docs = untidy_documents(spark, sf).withColumn("split", F.col("lang"))
+    seen = SeenKeys(spark, scratch_path(spark, "seen"), buckets=8)
+    batches = []
+    for batch in (0, 1):
+        batches.append(seen.fresh(docs.where(F.col("doc_id") % 2 == batch), ["doc_id"]))
+        seen.add(batches[-1])
+    return batches[0].unionByName(batches[1]).select("split", "doc_id")
+
+
 @query
 def converted_chats(spark, sf):
     df = untidy_conversations(spark, sf)
@@ -545,18 +560,17 @@ def vocabulary_tokens(spark, sf):
     )
 
 
-def _echo():
-    """A stand-in for a chat model that answers with the whole chat."""
-    return lambda messages, _: [*messages, {"role": "assistant", "content": f" You said: {messages[-1]['content']}\n"}]
-
-
 def _prompts(spark, sf):
     return table(spark, sf, "benchmark").select((F.col("item_id") + 1).alias("ord"), F.col("text").alias("prompt"))
 
 
 @query
 def generated_replies(spark, sf):
-    return generate(_prompts(spark, sf), _echo).select("ord", "reply")
+    """The prompts as a model gets them, and the replies cut out of the whole chats that it gives back, as a table has them."""
+    prompts = build_prompts(_prompts(spark, sf))
+    answer = F.struct(F.lit("assistant").alias("role"), F.concat(F.lit(" You said: "), F.col("prompt"), F.lit("\n")).alias("content"))
+    outputs = prompts.withColumn("generated", F.concat("chat", F.array(answer)))
+    return extract_replies(outputs).select("ord", "model_input", "reply")
 
 
 def _runs(spark, sf):
@@ -573,6 +587,17 @@ def generation_speed(spark, sf):
     return generation_benchmark(timed).withColumn("tokens_per_sec", F.round("tokens_per_sec", 3))
 
 
+@query
+def generation_summary(spark, sf):
+    """The speeds of two runs as one row each; latencies stand in the table."""
+    latency = (F.col("ord") % 5) / 8
+    runs = zip(("base", "tuned"), _runs(spark, sf), strict=True)
+    timed = [df.withColumn("latency_sec", latency).withColumn("run", F.lit(name)) for name, df in runs]
+    speeds = generation_benchmark(timed[0].unionByName(timed[1]), keep=["run"])
+    found = speed_summary(speeds, ["run"])
+    return found.withColumns({c: F.round(c, 6) for c in ("avg_latency_sec", "p95_latency_sec", "tokens_per_sec")})
+
+
 @query
 def compared_runs(spark, sf):
     return compare_runs(*_runs(spark, sf))
