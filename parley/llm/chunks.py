@@ -8,6 +8,7 @@ joined with the table, so a key that is in every text is joined once a chunk.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,13 @@ def numbered(batches: Iterator[pa.RecordBatch], text: int, limit: int = CHUNK_BY
         for start, stop in slices(batch.column(text), limit):
             yield number, batch.slice(start, stop - start)
             number += 1
+            give_back()
+
+
+def give_back() -> None:
+    """Hand freed memory back to the machine: a Python worker goes on to later stages with what it once had."""
+    pa.default_memory_pool().release_unused()
+    getattr(ctypes.CDLL(None), "malloc_trim", int)(0)  # not every C library has it
 
 
 def pack(values: np.ndarray) -> bytes:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parley.llm.arrays import SPACES, flat, words
-from parley.llm.chunks import entries, look_up, numbered, pack, spread, sums, unpack
+from parley.llm.chunks import entries, give_back, look_up, numbered, pack, spread, sums, unpack
 from parley.session import materialize, scratch_path
 
 #: The commonest tokens are classes of their own; all others share classes by a hash of their last bytes.
@@ -35,7 +35,7 @@ def _lowered(data: np.ndarray) -> np.ndarray:
     return data + np.uint8(32) * ((data >= ord("A")) & (data <= ord("Z"))).astype(np.uint8)
 
 
-def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Token numbers of all texts, offsets of the texts in them, and the tokens by number.
 
     Tokens are words between ASCII white space, A-Z lower-cased, then one end for each text: the empty token, number 0.
@@ -50,7 +50,8 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     ).dictionary_encode()
     first = np.searchsorted(starts, offsets)
     numbers = np.insert(found.indices.to_numpy().astype(np.int64) + 1, first[1:], 0)
-    return numbers, first + np.arange(len(first)), [b"", *found.dictionary.to_pylist()]
+    names = pa.concat_arrays([pa.array([b""], pa.large_binary()), found.dictionary]).cast(pa.binary())
+    return numbers, first + np.arange(len(first)), names
 
 
 @dataclass
@@ -143,7 +144,7 @@ def _chunked(kind: str):
                 pa.array([batch.column(0)], pa.list_(batch.column(0).type)),
                 pa.array([trains], pa.list_(pa.bool_())),
                 *(pa.array([pack(x)], pa.binary()) for x in (at, found)),
-                pa.array([names], pa.list_(pa.binary())),
+                pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names),
                 pa.array([n], pa.list_(pa.int64())),
             ]
             yield pa.record_batch(row, ["chunk", "keys", "trains", "at", "tokens", "word", "n"])
@@ -218,6 +219,7 @@ def _coded(totals: list[list[float]], kind: str):
                 ]
                 names = ["chunk", "round", "keys", "trains", "at", "classes", "n_tokens", "n_known", "base", "within"]
                 yield pa.record_batch(row, names)
+                give_back()
 
     schema = (
         f"chunk long, round int, keys array<{kind}>, trains array<boolean>, at binary, classes binary, "
@@ -244,6 +246,7 @@ def _taught(net: bytes, share: bytes, turn: int):
                     noise = np.minimum(np.searchsorted(below, rng.random(NOISE) * below[-1], "right"), CLASSES - 1)
                     own.teach(two[i : i + STEP], one[i : i + STEP], classes[i : i + STEP], noise, log_share)
                 seen += len(classes)
+                give_back()
         if seen:
             flat_values = own.packed()
             parts = [flat_values[i : i + _BLOCK].tobytes() for i in range(0, len(flat_values), _BLOCK)]
