@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 
 #: Bytes of text that numpy steps hold at a time; a single longer text is taken alone.
 SLICE_BYTES = 1 << 20
@@ -16,6 +20,26 @@ _BASE = 0x100000001B3
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+class Shipped:
+    """A value that tasks get by broadcast, its classes with it, so that executors need no copy of the package.
+
+    A broadcast names classes by their module; packed by value beforehand it does not. Each task unpacks it once.
+    """
+
+    def __init__(self, spark: SparkSession, value: Any) -> None:
+        self._packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+        self._found: list[Any] = []
+
+    @property
+    def value(self) -> Any:
+        if not self._found:
+            self._found.append(pickle.loads(self._packed.value))
+        return self._found[0]
+
+    def drop(self) -> None:
+        self._packed.unpersist()
+
+
 def as_bytes(texts: pa.Array) -> list[bytes]:
     """UTF-8 of every text; null gives empty bytes."""
     return [t or b"" for t in texts.cast(pa.large_binary()).to_pylist()]

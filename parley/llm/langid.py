@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.llm.arrays import Shipped
+
 #: Labelled rows for each language that are learned from, and characters of them all that make up its text.
 FIT_ROWS = 400
 FIT_CHARS = 20_000
@@ -226,7 +228,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
 
 def identify(df: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Columns key, ``lang_pred`` and ``score``, from the whole text of every row; no shuffle."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = Shipped(df.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.arrays import SpanHash, flat, mix, slices, words
+from parley.llm.arrays import Shipped, SpanHash, flat, mix, slices, words
 from parley.session import materialize
 
 #: Indicators are hashed to so many bits.
@@ -243,7 +243,7 @@ def learn(df: DataFrame, labelled: DataFrame, text: str = "text", key: str = "do
 
 def rate(df: DataFrame, model: Model, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """Columns key, ``score`` and ``predicted`` from every row's whole text; no shuffle. A null text counts as empty."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = Shipped(df.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,7 +258,7 @@ def rate(df: DataFrame, model: Model, text: str = "text", key: str = "doc_id", t
 
 def keep_good(df: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``df`` whose text the model does not reject, scored where they are: no shuffle, no join."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = Shipped(df.sparkSession, model)
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:

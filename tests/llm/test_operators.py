@@ -195,7 +195,8 @@ def test_paraphrases_are_found_and_other_texts_left_alone(spark):
 def test_items_in_blocks_give_the_same(spark, monkeypatch):
     rows = [(i, " ".join(f"w{i}x{k}" for k in range(30))) for i in range(9)]
     df, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(rows, "item_id long, text string")
-    monkeypatch.setattr(decontaminate, "ITEM_BLOCK", 2)
+    monkeypatch.setattr(decontaminate, "PASSAGES", 2)
+    monkeypatch.setattr(decontaminate, "SPACES", 1)
     assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(df, bench).collect()) == [(i, i) for i in range(9)]
 
 
@@ -204,27 +205,63 @@ def test_latent_search_recalls_the_candidates_of_full_vectors(spark, sf_dir):
     rows = [(r[0], r[1]) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     counts, passages = decontaminate.document_counts(docs)
     items = decontaminate.read_items(rows)
-    space = decontaminate.latent_space(docs.select("text"), items, counts, passages)
+    spaces = decontaminate.latent_spaces(docs.select("text"), items, counts, passages)
     hashes, sizes = decontaminate.word_hashes(pa.array([r[0] for r in docs.select("text").collect()]))
-    found = {(t, q) for t, _, q, _ in decontaminate.candidates(space, hashes, sizes)}
-
-    def full(blocks):
-        slots = np.append(space.slot, -1)[blocks.terms]
-        out = np.zeros((len(slots), int(space.slot.max()) + 2), np.float32)
-        np.put_along_axis(out, slots + 1, space.weight[blocks.terms] * (slots >= 0), axis=1)
-        return out[:, 1:]
-
     blocks = decontaminate.Blocks.of(hashes, sizes)
-    vectors, (lengths, _) = full(blocks), space.known(blocks.terms)
     same = np.append(blocks.owner[1:] == blocks.owner[:-1], False)
-    vectors[same] += vectors[1:][same[:-1]]
-    lengths[same] += lengths[1:][same[:-1]]
-    own = decontaminate.Blocks.of(np.concatenate([i.hashes for i in items]), np.r_[0, np.cumsum([len(i.hashes) for i in items])])
-    queries = np.zeros((len(items), vectors.shape[1]), np.float32)
-    np.add.at(queries, own.owner, full(own))
-    cosine = vectors @ queries.T / np.sqrt(np.maximum(lengths, 1e-9))[:, None] / np.linalg.norm(queries, axis=1)
-    wanted = {(int(blocks.owner[p]), int(q)) for p, q in zip(*np.nonzero(cosine >= decontaminate.LEAST_COSINE), strict=True)}
-    assert wanted and len(wanted & found) >= 0.9 * len(wanted)
+    for space in spaces:
+        found = {(t, q) for t, _, q, _ in decontaminate.candidates(space, blocks)}
+
+        def full(blocks, space=space):
+            slots = np.append(space.slot, -1)[blocks.terms]
+            out = np.zeros((len(slots), int(space.slot.max()) + 2), np.float32)
+            np.put_along_axis(out, slots + 1, space.weight[blocks.terms] * (slots >= 0), axis=1)
+            return out[:, 1:]
+
+        vectors, (lengths, _) = full(blocks), space.known(blocks.terms)
+        vectors[same] += vectors[1:][same[:-1]]
+        lengths[same] += lengths[1:][same[:-1]]
+        cut = [items[i].hashes[at : at + 2 * decontaminate.BLOCK] for i, at in zip(space.item_of, space.offset, strict=True)]
+        own = decontaminate.Blocks.of(np.concatenate(cut), np.r_[0, np.cumsum([len(c) for c in cut])])
+        queries = np.zeros((len(cut), vectors.shape[1]), np.float32)
+        np.add.at(queries, own.owner, full(own))
+        cosine = vectors @ queries.T / np.sqrt(np.maximum(lengths, 1e-9))[:, None] / np.linalg.norm(queries, axis=1)
+        wanted = {(int(blocks.owner[p]), int(q)) for p, q in zip(*np.nonzero(cosine >= decontaminate.LEAST_COSINE), strict=True)}
+        assert wanted and len(wanted & found) >= 0.9 * len(wanted)
+
+
+@pytest.mark.parametrize(("items", "size"), [(40, 20), (1_000, 38), (200, 300), (40, 700)])
+def test_recall_does_not_depend_on_the_benchmark(spark, items, size):
+    """Every second item stands in a document word for word, every other one with an eighth of its words changed."""
+    rng = np.random.default_rng(items + size)
+    share = 1.0 / np.arange(1, 20_001)
+    draw = lambda n: [f"w{k}" for k in rng.choice(20_000, n, p=share / share.sum())]
+    told = [draw(size) for _ in range(items)]
+    docs = []
+    for i, item in enumerate(told):
+        if i % 2:
+            item = ["changed" if k % 8 == 3 else w for k, w in enumerate(item)]
+        around = draw(400)
+        docs.append((i, " ".join(around[:150] + item + around[150:])))
+    docs += [(items + i, " ".join(draw(400))) for i in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(told)], "item_id long, text string")
+    found = {(r[0], r[1]) for r in decontaminate.contaminated(df, bench, fit_rows=100).select("doc_id", "item_id").collect()}
+    copies, changed = range(0, items, 2), range(1, items, 2)
+    assert sum((i, i) in found for i in copies) >= 0.99 * len(copies)
+    assert sum((i, i) in found for i in changed) >= 0.9 * len(changed)
+    assert not any(d >= items for d, _ in found)
+
+
+def test_rows_with_items_go_wherever_their_key_is(spark):
+    item = " ".join(f"q{k}" for k in range(30))
+    other = " ".join(f"z{k}" for k in range(300))
+    rows = [(None, item), (None, other), (1, item), (1, other), (2, None), (3, "")]
+    df = spark.createDataFrame([(*r, 5, "k") for r in rows], "doc_id long, text string, item_id int, item string")
+    bench = spark.createDataFrame([(1, item, "a"), (None, other, "b"), (2, None, "c"), (3, "", "d")], "item_id long, text string, doc_id string")
+    kept = decontaminate.keep_clean(df, bench)
+    assert kept.columns == df.columns
+    assert sorted(((r[0], r[1]) for r in kept.collect()), key=str) == sorted([rows[1], rows[3], rows[4], rows[5]], key=str)
 
 
 def test_queries_give_one_row_a_document(spark, sf_dir):
