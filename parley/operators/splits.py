@@ -23,6 +23,9 @@ from parley.sources.datasets import POSITION, SPLIT, named, with_split
 # Cuts are one comparison per split in the filter; more splits than this are ranked in windows,
 # which then spread over many tasks anyway. Which rows are the first does not depend on it.
 _CUT_SPLITS = 64
+# Rows of a file that are counted together in stored order, as a power of two; files and splits named in a filter.
+_STORED_BITS = 16
+_LISTED = 10_000
 _WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -137,17 +140,17 @@ def head_per_split(
 
     Whole-number order columns: the order value at rank ``n`` is found by
     counting, and rows are filtered in place, at the scan where possible, without
-    any sort or shuffle. In stored order: files behind the last one needed are
-    not opened. What then is left to rank, as with other columns, goes through two
-    top-n windows, the first in salted groups, so that no task receives a whole
+    any sort or shuffle. In stored order: rows are counted by file and place, which reads no data
+    column, and compared with the place of the last one needed; files behind it are not opened. Stored places tell rows apart
+    (``read_dataset``); rows of one place come together. Other orders go through two top-n windows, the first in salted groups, so that no task receives a whole
     split. Rows that share all order values are taken in the order of a hash of the whole row, so that
     the same rows come first whichever way they are found.
     """
     df = with_split(df) if by == SPLIT else df
     order_by = list(order_by)
     if order_by == [POSITION]:
-        df = _head_files(df, n, by)
-    elif n > 0 and all(isinstance(df.schema[c].dataType, _WHOLE_NUMBERS) for c in order_by):
+        return _head_stored(df, n, by)
+    if n > 0 and all(isinstance(df.schema[c].dataType, _WHOLE_NUMBERS) for c in order_by):
         bounds = order_bounds(df, F.col(by), F.col(order_by[0]), _CUT_SPLITS)
         if len(bounds) <= _CUT_SPLITS:
             df, exact = _head_by_cut(df, n, order_by, by, bounds)
@@ -164,27 +167,51 @@ def _hashable(kind: T.DataType) -> bool:
     return "map<" not in kind.simpleString() and "variant" not in kind.simpleString()
 
 
-def _head_files(df: DataFrame, n: int, by: str) -> DataFrame:
-    """The files that hold the first ``n`` rows of each split in stored order.
+def _stored_counts(df: DataFrame, by: str) -> DataFrame:
+    """Rows of each group by file and range of places, and how many rows the group has up to there in stored order."""
+    at = F.col(POSITION)
+    where = [at["part"].alias("part"), at["file"].alias("file"), F.shiftright(at["row"], _STORED_BITS).alias("range")]
+    counted = df.groupBy(F.col(by).alias("_by"), *where).agg(F.count(F.lit(1)).alias("rows"))
+    so_far = F.sum("rows").over(Window.partitionBy("_by").orderBy("part", "file", "range"))
+    return counted.withColumn("before", so_far - F.col("rows"))
 
-    Rows are counted per file, without reading a data column; the files' counts
-    are then added up in order. The filter on the file name keeps all later
-    files from being opened.
+
+def _in_files(df: DataFrame, files: DataFrame) -> DataFrame:
+    """The rows of some files; the scan opens no others, unless they are too many to name."""
+    names = [r[0] for r in files.select("file").distinct().limit(_LISTED + 1).collect()]
+    return df.where(F.col(f"{POSITION}.file").isin(names)) if len(names) <= _LISTED else df
+
+
+def _stored_places(df: DataFrame, by: str, rank: int, counts: DataFrame) -> DataFrame:
+    """Columns ``_by`` and ``_last``: the stored place of each group's row at a rank from 1; none for groups with fewer rows.
+
+    Only the range of places that holds the rank is put in order: at most ``2 ** _STORED_BITS`` places of a group.
     """
-    file = F.struct(F.col(f"{POSITION}.part").alias("part"), F.col(f"{POSITION}.file").alias("file"))
-    counted = df.groupBy(F.col(by).alias("by"), file.alias("file")).agg(F.count(F.lit(1)).alias("rows"))
-    so_far = F.sum("rows").over(Window.partitionBy("by").orderBy("file"))
-    enough = counted.withColumn("so_far", so_far).where(F.col("so_far") >= n)
-    last_file = enough.groupBy("by").agg(F.min("file").alias("last")).limit(_CUT_SPLITS + 1)
-    last = {r["by"]: r["last"] for r in last_file.collect()}
-    if not 0 < len(last) <= _CUT_SPLITS:
-        return df
-    keep = F.col(by).isNull() | ~F.col(by).isin(*last)
-    for name, path in last.items():
-        part, name_of = F.col(f"{POSITION}.part"), F.col(f"{POSITION}.file")
-        behind = (part > path["part"]) if path["part"] is not None else part.isNotNull()
-        keep = keep | ((F.col(by) == name) & ~F.coalesce(behind, F.lit(False)) & (~part.eqNullSafe(F.lit(path["part"])) | (name_of <= path["file"])))
-    return df.where(keep)
+    cut = counts.where((F.col("before") < rank) & (F.col("before") + F.col("rows") >= rank))
+    slim = _in_files(df, cut).select(F.col(by).alias("_of"), F.col(POSITION).alias("_last"))
+    inside = (
+        F.col("_of").eqNullSafe(F.col("_by"))
+        & F.col("_last.part").eqNullSafe(F.col("part"))
+        & (F.col("_last.file") == F.col("file"))
+        & (F.shiftright("_last.row", _STORED_BITS) == F.col("range"))
+    )
+    nth = F.row_number().over(Window.partitionBy("_by").orderBy("_last.row"))
+    ranked = slim.join(cut, inside).withColumn("_nth", nth)
+    return ranked.where(F.col("_nth") == F.lit(rank) - F.col("before")).select("_by", "_last")
+
+
+def _head_stored(df: DataFrame, n: int, by: str) -> DataFrame:
+    """The first ``n`` rows of each group in stored order: those up to the place of its ``n``-th row."""
+    if n <= 0:
+        return df.limit(0)
+    counts = _stored_counts(df, by)
+    places = _stored_places(df, by, n, counts)
+    kept = _in_files(df, counts.where(F.col("before") < n))
+    few = places.limit(_LISTED + 1).collect()
+    if len(few) <= _LISTED:
+        places = F.broadcast(df.sparkSession.createDataFrame(few, places.schema))
+    ends = kept.join(places, F.col(by).eqNullSafe(F.col("_by")), "left")
+    return ends.where(F.col("_last").isNull() | (F.col(POSITION) <= F.col("_last"))).drop("_by", "_last")
 
 
 def _salts(df: DataFrame) -> int:
@@ -227,11 +254,20 @@ def select_eval_split(
 def pick_example(
     df: DataFrame, split: str = TRAIN, i: int = 0, order_by: Sequence[str] = (POSITION,)
 ) -> DataFrame:
-    """Row ``i`` of a split, or of the first split if that one does not exist."""
+    """Row ``i`` of a split, or of the first split if that one does not exist.
+
+    In stored order only the file that holds the row is read, whatever ``i``.
+    """
     df = with_split(df)
     found = F.when(F.max(F.col(SPLIT) == split), F.lit(split)).otherwise(F.min(SPLIT))
     chosen = df.select(SPLIT).agg(found).first()[0]
     df = df.where(F.col(SPLIT) == chosen)
+    if list(order_by) == [POSITION]:
+        found = _stored_places(df, SPLIT, i + 1, _stored_counts(df, SPLIT)).first()
+        if found is None:
+            return df.limit(0)
+        at = F.col(POSITION)
+        return df.where((at["file"] == found["_last"]["file"]) & (at["row"] == found["_last"]["row"])).limit(1)
     if i > 0 and all(isinstance(df.schema[c].dataType, _WHOLE_NUMBERS) for c in order_by):
         order = [F.col(c) for c in order_by]
         bounds = order_bounds(df, F.col(SPLIT), order[0])

@@ -228,6 +228,8 @@ GROUP BY ALL""",
     "length_totals": f"WITH {_CLEANED} SELECT count(*) AS char_count, count(*) AS token_count FROM keyed",
     "parquet_roundtrip": """SELECT doc_id, text, lang, source, n_chars,
   CASE WHEN doc_id % 4 = 0 THEN '1' WHEN doc_id % 4 < 3 THEN '00' || (doc_id % 3) END AS split FROM documents""",
+    "stored_example": """SELECT lang AS split, doc_id, text FROM documents WHERE lang = (SELECT min(lang) FROM documents)
+ORDER BY doc_id OFFSET 29 LIMIT 1""",
     "stored_order": "SELECT lang AS split, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY doc_id) <= 10",
     "jsonl_roundtrip": "SELECT doc_id, text, lang, CASE WHEN doc_id % 3 > 0 THEN source END AS source, n_chars FROM documents",
     "report_roundtrip": f"""WITH l AS (SELECT {tokens("'<|user|>' || chr(10) || text")} AS v FROM documents)

@@ -480,6 +480,14 @@ def stored_order(spark, sf):
     return head_per_split(read_dataset(spark, path, position=True), 10).select("split", "doc_id")
 
 
+@query
+def stored_example(spark, sf):
+    path = scratch_path(spark, "stored_example")
+    docs = _documents_by_language(spark, sf)
+    write_dataset(docs.repartitionByRange(4, "doc_id").sortWithinPartitions("split", "doc_id"), path)
+    return pick_example(read_dataset(spark, path, position=True), "train", 29).select("split", "doc_id", "text")
+
+
 @query
 def jsonl_roundtrip(spark, sf):
     path = scratch_path(spark, "jsonl_roundtrip")

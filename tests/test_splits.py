@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parley.operators import ranks, splits
 from parley.operators.splits import head_per_split, pick_example, select_eval_split, split_dataset, split_sizes
+from parley.sources.datasets import read_dataset
 
 
 @pytest.mark.parametrize(("rows", "sizes"), [(1000, (960, 20, 20)), (100, (96, 2, 2)), (25, (24, 0, 1)), (0, (0, 0, 0))])
@@ -163,6 +164,51 @@ def test_rows_without_a_split_are_a_split_too(spark):
     assert rows == [0, 1, 2, 3, 4, 5]
 
 
+STORED = [(("a", "b", "a", None)[k % 4 if k < 90 else 0], k) for k in range(150)]
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    """Rows of three splits in four files, a file holding several of them, and numbered in stored order."""
+    path = str(tmp_path / "stored")
+    df = spark.createDataFrame(STORED, "part string, k long").repartitionByRange(4, "k").sortWithinPartitions("k")
+    df.write.parquet(path)
+    return read_dataset(spark, path, position=True).withColumn("split", F.col("part")).drop("part")
+
+
+@pytest.mark.parametrize("listed", [10_000, 1])
+@pytest.mark.parametrize("n", [0, 1, 22, 500])
+def test_first_rows_in_stored_order(monkeypatch, stored, n, listed):
+    monkeypatch.setattr(splits, "_STORED_BITS", 2)
+    monkeypatch.setattr(splits, "_LISTED", listed)
+    wanted = [(s, k) for part in ("a", "b", None) for s, k in [r for r in STORED if r[0] == part][:n]]
+    got = head_per_split(stored, n)
+    assert got.columns == stored.columns
+    assert sorted(((r["split"], r["k"]) for r in got.collect()), key=str) == sorted(wanted, key=str)
+    kept = [r for r in STORED if r[1] % 3]
+    wanted = [(s, k) for part in ("a", "b", None) for s, k in [r for r in kept if r[0] == part][:n]]
+    got = head_per_split(stored.where("k % 3 > 0"), n).collect()
+    assert sorted(((r["split"], r["k"]) for r in got), key=str) == sorted(wanted, key=str)
+
+
+@pytest.mark.parametrize("i", [0, 45, 104, 105])
+def test_example_in_stored_order(monkeypatch, stored, i):
+    monkeypatch.setattr(splits, "_STORED_BITS", 3)
+    wanted = [r for r in STORED if r[0] == "a"][i : i + 1]
+    assert [(r["split"], r["k"]) for r in pick_example(stored, "a", i).collect()] == wanted
+    assert pick_example(stored.limit(0), "a", i).count() == 0
+
+
+def test_example_in_stored_order_opens_one_file(spark, tmp_path):
+    path = tmp_path / "one"
+    spark.range(1000, numPartitions=5).write.parquet(str(path))
+    found = pick_example(read_dataset(spark, str(path), position=True), i=450)
+    for file in path.glob("part-*"):
+        if "part-00002" not in file.name:
+            file.write_bytes(b"no parquet")
+    assert [r["id"] for r in found.collect()] == [450]
+
+
 def test_select_eval_split(spark):
     df = spark.range(50).withColumn("split", F.when(F.col("id") < 20, "test").otherwise("train"))
     assert [r["id"] for r in select_eval_split(df, 3, ["id"]).orderBy("id").collect()] == [0, 1, 2]
