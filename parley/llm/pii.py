@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,11 +14,13 @@ from pyspark.sql import functions as F
 
 #: Kinds of the base rules in their order, then those that the checks below add.
 BASE = ("email", "ip", "card", "phone")
-ADDED = ("iban", "ssn")
+ADDED = ("iban", "ssn", "secret")
 #: An added span counts from this score on.
 MIN_SCORE = 0.5
 #: Characters before and after a span in which context words count.
 NEAR = 48
+#: Least entropy, in bits a character, of a run of letters and digits that may be a secret.
+SECRET_BITS = 3.0
 
 # Scores of a pattern alone, with its checksum, and for a context word nearby.
 SCORES = {
@@ -26,6 +30,7 @@ SCORES = {
     "phone": (0.5, 0.5),
     "iban": (0.2, 0.9),
     "ssn": (0.3, 0.3),
+    "secret": (0.1, 0.4),
 }
 CONTEXT_BONUS = 0.3
 CONTEXT = {
@@ -35,11 +40,18 @@ CONTEXT = {
     "phone": ("phone", "call", "tel", "mobile", "fax"),
     "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"),
     "ssn": ("ssn", "social", "security"),
+    "secret": ("secret", "token", "key", "apikey", "password", "passwd", "credential", "bearer"),
 }
-# Account number lengths by country.
+# Account number lengths by country, as the IBAN registry lists them.
 IBAN_LENGTHS = {
-    "AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27,
-    "HU": 28, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SK": 24,
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28,
+    "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18,
+    "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28,
+    "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20,
+    "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28,
+    "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24,
+    "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26,
+    "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
 }
 
 # The parts of the base patterns. Possessive repeats and the looks behind keep every scan linear: where the
@@ -49,8 +61,11 @@ _LOCAL = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+# The rest of an account number of each length.
+_IBAN_REST = {n: re.compile(rf"(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for n in sorted(set(IBAN_LENGTHS.values()))}
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+=*+")
 _WORD = re.compile(r"[A-Za-z-]+")
 _DIGIT = re.compile(r"[0-9]")
 
@@ -109,32 +124,41 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-def _iban_end(text: str, start: int, end: int) -> int | None:
-    """Where the account number from ``start`` on ends, if its checksum holds; blanks inside do not count."""
-    want, at = IBAN_LENGTHS.get(text[start : start + 2], 0), start
-    number = ""
-    while at < end and len(number) < want:
-        number += text[at].strip()
-        at += 1
-    whole = len(number) == want > 0 and (at == len(text) or not text[at].isalnum())
-    return at if whole and mod97(number) else None
+def _ibans(text: str) -> Iterator[Span]:
+    """Account numbers whose checksum holds; the search goes on behind each, and one character on after a failed check."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        at = m.start() + 1
+        rest = _IBAN_REST.get(IBAN_LENGTHS.get(m[0][:2], 0))
+        whole = rest.match(text, m.end()) if rest else None
+        if whole and mod97((m[0] + whole[0]).replace(" ", "")):
+            at = whole.end()
+            yield "iban", m.start(), at
+
+
+def entropy(run: str) -> float:
+    """Bits a character of a run of characters, by how often each is in it."""
+    return sum(n * math.log2(len(run) / n) for n in Counter(run).values()) / len(run)
+
+
+def _secrets(text: str) -> Iterator[Span]:
+    """Long runs of letters and digits as mixed as chance makes them; only a context word nearby makes one a secret."""
+    for m in _SECRET.finditer(text):
+        if _DIGIT.search(m[0]) and re.search("[A-Za-z]", m[0]) and entropy(m[0]) >= SECRET_BITS:
+            yield "secret", *m.span()
 
 
 def added_spans(text: str) -> list[Span]:
-    """Candidates of the added kinds with their checksum, where there is one."""
+    """Candidates of the added kinds that pass their checksum or entropy, where there is one."""
     if not _DIGIT.search(text):
         return []
-    out: list[Span] = []
-    for m in _IBAN.finditer(text):
-        if end := _iban_end(text, *m.span()):
-            out.append(("iban", m.start(), end))
-    return out + [("ssn", *m.span()) for m in _SSN.finditer(text)]
+    return [*_ibans(text), *(("ssn", *m.span()) for m in _SSN.finditer(text)), *_secrets(text)]
 
 
 def score(text: str, kind: str, start: int, end: int) -> float:
     """Score of a span: its pattern, its checksum, and a bonus for a context word on either side."""
     alone, checked = SCORES[kind]
-    value = checked if kind in ("card", "iban") else alone
+    value = checked if kind in ("card", "iban", "secret") else alone
     around = f"{text[max(0, start - NEAR) : start]} {text[end : end + NEAR]}".lower()
     if not set(_WORD.findall(around)).isdisjoint(CONTEXT[kind]):
         value += CONTEXT_BONUS

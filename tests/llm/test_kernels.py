@@ -123,6 +123,15 @@ def test_checksums_and_context():
     iban = "GB82 WEST 1234 5698 7654 32"
     assert [s[:3] for s in pii.find(f"pay {iban} now") if not s[4]] == [("iban", 4, 4 + len(iban))]
     assert not [s for s in pii.find(f"pay {iban[:-1]}3 now") if s[0] == "iban"]
+    two = "DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32"
+    assert [s[:3] for s in pii.find(two) if not s[4]] == [("iban", 0, 27), ("iban", 28, 55)]
+    for number in ("TR330006100519786457841326", "HR1210010051863000160", "MT84MALT011000012345MTLCAST001S"):
+        assert [s[:3] for s in pii.find(f"XX00 {number}.") if not s[4]] == [("iban", 5, 5 + len(number))]
+    assert not [s for s in pii.find("DE89 3704 0044 0532 0130 00x DE00 XTR330006100519786457841326") if s[0] == "iban"]
+    secret = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    told = f'the token = "{secret}" is ours'
+    assert [s[:3] for s in pii.find(told)] == [("secret", 13, 53)] and secret not in pii.redact(told, pii.find(told))
+    assert pii.find(f"commit {secret} of a branch") == pii.find("token " + "a1" * 20) == pii.find("token with-many-words-of-hyphens-in-it") == []
     assert [s[0] for s in pii.find("my SSN is 123-45-6789.")] == ["ssn"]
     assert pii.find("part 123-45-6789.") == []
     assert pii.score("call +1 555 123 4567", "phone", 5, 20) > pii.score("xxxx +1 555 123 4567", "phone", 5, 20)
