@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -211,6 +212,45 @@ def test_likeness_of_fingerprints():
     assert syncmers.likeness(prints[0], prints[1]) < 0.1 and syncmers.likeness(prints[0], prints[3]) == 0.0
     assert 0.3 < syncmers.likeness(prints[0], prints[2]) < 0.7
     assert len(prints[4][0]) == 1
+    for p in prints:
+        back = syncmers.read(syncmers.written(p))
+        assert all(np.array_equal(x, y) for x, y in zip(p, back, strict=True))
+
+
+def plain_likeness(a, b):
+    """Pairs of neighbouring anchors with their distance, counted in plain dictionaries."""
+    both = []
+    for text in (a, b):
+        found = plain_syncmers(text) or ([(text, 0)] if text else [])
+        pairs = Counter()
+        for i, (h, at) in enumerate(found):
+            h_before, at_before = found[i - 1] if i else (None, 0)
+            pairs[h_before, at - at_before, h] += 1
+        both.append(pairs)
+    if not both[0] or not both[1]:
+        return float(len(both[0]) == len(both[1]))
+    return 2 * (both[0] & both[1]).total() / (both[0].total() + both[1].total())
+
+
+@given(st.text(alphabet="ab é", max_size=80), st.text(alphabet="ab é", max_size=80), st.integers(0, 80))
+@settings(max_examples=60, deadline=None)
+def test_likeness_is_that_of_plain_counts(a, b, at):
+    for x, y in ((a, b), (a, a[:at] + b + a[at:]), (a, syncmers.edited(a, b)), (a * 3, a)):
+        assert syncmers.likeness(syncmers.sketch(x), syncmers.sketch(y)) == plain_likeness(x, y)
+
+
+def test_inserted_sentences_cost_only_what_is_around_them():
+    rng = np.random.default_rng(5)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, n)) for n in rng.integers(2, 9, 3000)]
+    text = " ".join(words)[:20_000]
+    for count in (1, 2, 3, 5):
+        new = text
+        for i in range(count):
+            at = 1000 + i * 4000
+            new = new[:at] + " ".join(rng.permutation(words)[:25].tolist()) + new[at:]
+        assert syncmers.likeness(syncmers.sketch(text), syncmers.sketch(new)) >= 0.95
+    halves = syncmers.edited(text, "other words " * 2000)
+    assert abs(syncmers.likeness(syncmers.sketch(text), syncmers.sketch(halves)) - 0.5) < 0.05
 
 
 def _archive(n=5):

@@ -135,6 +135,23 @@ def test_every_text_meets_the_next(spark, parts):
     assert len(alone) == 1 and alone[0]["near_next"] == 1.0
 
 
+@pytest.mark.parametrize("parts", [1, 5, 16])
+def test_a_key_of_many_rows_is_parted(spark, parts):
+    keys = [None] * 60 + [7] * 100 + list(range(10, 50)) + [4, 4]
+    rows = [(k, f"text {i} of a key {k} " * 3) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    marked = df.withColumn("mark", F.xxhash64("text")).collect()
+    order = sorted(marked, key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["mark"]))
+    plain = [
+        (a["doc_id"], syncmers.written(syncmers.sketch(a["text"])), syncmers.written(syncmers.sketch(syncmers.edited(a["text"], b["text"]))))
+        for a, b in zip(order, [*order[1:], order[0]], strict=True)
+    ]
+    found = syncmers.compare_with_next(df, parts=parts)
+    assert sorted(map(str, plain)) == sorted(str((r["doc_id"], r["fingerprint"], r["edited_fingerprint"])) for r in found.collect())
+    sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    assert parts < 16 or max(r["count"] for r in sizes) <= 40
+
+
 SITE = "<html><body><div class='top'>The same words on every page</div><div class='text'><p>{}</p></div></body></html>"
 PAGES = [(i, "http://a.example/x", SITE.format(f"Page {i} says {i * i}")) for i in range(8)]
 ODD = [(20, None, None), (21, "no url", ""), (22, "http://b.example/", "<p>alone"), (22, "http://b.example/", "<p>alone")]
