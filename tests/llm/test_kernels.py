@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -282,6 +283,77 @@ def test_salvage_of_plain_records_cut_ends_and_nothing():
     assert warc.digest(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
 
 
+def plain_salvage(data):
+    """Sound members and records of an archive, everything tried at every place."""
+    out, at = [], 0
+    while at < len(data):
+        member = zlib.decompressobj(31)
+        try:
+            whole = member.decompress(data[at:]) if data[at:].startswith(warc.GZIP) else data[at:]
+            end = len(data) - len(member.unused_data) if member.eof else None
+        except zlib.error:
+            whole, end = b"", None
+        head, _, rest = whole.partition(b"\r\n\r\n")
+        lines = head.split(b"\r\n")
+        named = all(b":" in line for line in lines[1:])
+        fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(b":") for line in lines[1:])}
+        length = fields.get(b"content-length", b"")
+        n = int(length) if length.isdigit() else 0
+        sound = re.fullmatch(rb"WARC/\d+\.\d+", lines[0]) and named and length.isdigit() and rest[n : n + 4] == b"\r\n\r\n"
+        block = fields.get(b"warc-block-digest", b"").decode("latin-1")
+        sound = sound and (not block.startswith("sha1:") or block[5:] == warc.digest(rest[:n]))
+        if sound and data[at:].startswith(b"WARC/"):
+            end = at + len(head) + 8 + n
+        if sound and end:
+            out.append((at, end, rest[:n]))
+            at = end
+        else:
+            at += 1
+    return out
+
+
+@given(st.data())
+@settings(max_examples=60, deadline=None)
+def test_salvage_finds_what_a_try_at_every_place_finds(data):
+    members = [m if data.draw(st.booleans()) else gzip.decompress(m) for m in _archive(4)]
+    whole = bytearray(b"".join(members))
+    for _ in range(data.draw(st.integers(0, 4))):
+        at = data.draw(st.integers(0, len(whole) - 1))
+        kind = data.draw(st.sampled_from(["flip", "cut", "insert"]))
+        whole[at : at + (kind != "insert")] = {"flip": bytes([whole[at] ^ 0x41]), "cut": b"", "insert": b"WARC/1.1\r\n\x1f\x8b\x08"}[kind]
+    found = list(warc.salvage(bytes(whole)))
+    assert [(f[1], f[2], f[4]) for f in found if f[0] == "record"] == plain_salvage(bytes(whole))
+    ends = [0, *(f[2] for f in found)]
+    assert [f[1] for f in found] == ends[:-1] and ends[-1] == len(whole)
+
+
+def test_salvage_time_grows_with_the_bytes():
+    members = b"".join(_archive(200))
+    reads = []
+    for times in (10, 80):
+        data = members * times
+        source = warc._Source(pa.BufferReader(data))
+        taken = 0
+        real = source.read
+
+        def read(at, n, real=real):
+            nonlocal taken
+            out = real(at, n)
+            taken += len(out)
+            return out
+
+        source.read = read
+        at = 0
+        while at < source.size:
+            at = warc._member(source, at)[1]
+        reads.append(taken / len(data))
+    assert reads[1] < 1.1 * reads[0]
+
+
+def test_paths_of_object_stores():
+    assert warc.uri("s3a://b/x") == "s3://b/x" and warc.uri("file:/tmp/x") == "file:///tmp/x" and warc.uri("hdfs://h/x") == "hdfs://h/x"
+
+
 def test_hinge_model_learns_and_calibrates():
     rng = np.random.default_rng(3)
     good = [" ".join(rng.choice(["calm", "river", "stone", "light"], 20)) + "." for _ in range(60)]

@@ -176,13 +176,17 @@ def test_template_branches_go_inside_main_text_too(spark):
     assert found == {i: f"Story {i} Own text {i}" for i in range(6)} | {10 + i: "Told again" for i in range(9)}
 
 
+LARGE = "<p>a page larger than an archive" * 300_000
+
+
 def test_archives_are_read_back_as_written(spark):
-    rows = [(i, f"http://x/{i}", "same" if i % 3 == 0 else f"own {i}") for i in range(30)] + [(40, None, None), (41, "u", ""), (30, "r", "q"), (30, "r", "q")]
+    rows = [(i, f"http://x/{i}", "same" if i % 3 == 0 else f"own {i}") for i in range(30)] + [(40, None, None), (41, "u", ""), (30, "r", "q"), (30, "r", "q"), (50, "l", LARGE), (51, "m", LARGE)]
     pages = spark.createDataFrame([(*r, "k") for r in rows], "page_id long, url string, html string, key string")
     found = warc.archived(pages).collect()
     assert len(found) == len(rows) and {r["kind"] for r in found} == {"record"}
     by_id = {r["page_id"]: r for r in found}
     assert by_id[27]["record_type"] == "response" and by_id[0]["refers_to"] == 27 and by_id[40]["refers_to"] == 41
+    assert bytes(by_id[51]["payload"]) == LARGE.encode() and by_id[50]["refers_to"] == 51
     assert by_id[0]["payload_bytes"] == 4 and by_id[0]["payload_digest"] == warc.digest(b"same") and by_id[0]["payload"] is None
     assert bytes(by_id[1]["payload"]) == b"own 1" and by_id[30]["record_type"] == "response"
     kept = {r["page_id"]: r["record_type"] for r in warc.archived(pages, least=5).collect()}
