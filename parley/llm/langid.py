@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.llm.arrays import Shipped
+from parley.session import materialize
 
 #: Labelled rows for each language that are learned from, and characters of them all that make up its text.
 FIT_ROWS = 400
@@ -21,8 +21,6 @@ FIT_CHARS = 20_000
 FIT_ROW_CHARS = 4_000
 #: Leading bits of a key's hash that are counted to find where the chosen rows end.
 HASH_BITS = 16
-#: Characters that have classes of their own; all rarer ones share one class.
-ALPHABET = 94
 #: A phrase ends at every so many characters at the latest, so that parts of a text are parsed side by side.
 SEGMENT = 1_024
 #: Characters that are parsed at a time.
@@ -30,33 +28,31 @@ PART_CHARS = 1 << 21
 #: How sharply the difference in bits a character turns into a score.
 SHARPNESS = 12.0
 
-_BREAK, _RARE, _FIRST = 0, 1, 2
+_BREAK = 0x20
+#: The class of bytes that a language's text does not have.
+_RARE = 0
 
 
-class Alphabet:
-    """Classes of characters: 0 for all that is no letter, 1 for rarer letters, then the commonest letters."""
+def _letters(points: np.ndarray) -> np.ndarray:
+    """Which code points are letters."""
+    kinds, at = np.unique(points, return_inverse=True)
+    return np.array([chr(p).isalpha() for p in kinds.tolist()], bool)[at]
 
-    def __init__(self, texts: list[str], size: int = ALPHABET):
-        counts = Counter(c for t in texts for c in t.lower() if c.isalpha())
-        common = sorted(counts, key=lambda c: (-counts[c], c))[:size]
-        self.numbers = {ord(c): _FIRST + i for i, c in enumerate(common)}
-        self.width = _FIRST + len(common)
-        self.low = np.array([self._of(p) for p in range(0x250)], np.uint8)
 
-    def _of(self, point: int) -> int:
-        return self.numbers.get(point, _RARE if chr(point).isalpha() else _BREAK)
+_LOW = _letters(np.arange(0x250))
 
-    def encode(self, text: str) -> np.ndarray:
-        """Classes of a text's lower-cased characters, with runs of what is no letter made one."""
-        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        out = self.low[np.minimum(points, len(self.low) - 1)]
-        beyond = np.flatnonzero(points >= len(self.low))
-        if len(beyond):
-            kinds, at = np.unique(points[beyond], return_inverse=True)
-            out[beyond] = np.array([self._of(int(p)) for p in kinds], np.uint8)[at]
-        keep = np.ones(len(out), bool)
-        keep[1:] = (out[1:] != _BREAK) | (out[:-1] != _BREAK)
-        return out[keep]
+
+def encode(text: str) -> np.ndarray:
+    """UTF-8 of a text's lower-cased letters, each run of what is no letter made one blank. No script is left out."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = _LOW[np.minimum(points, len(_LOW) - 1)]
+    beyond = np.flatnonzero(points >= len(_LOW))
+    if len(beyond):
+        letter[beyond] = _letters(points[beyond])
+    keep = np.ones(len(points), bool)
+    keep[1:] = letter[1:] | letter[:-1]
+    kept = np.where(letter, points, _BREAK)[keep].astype("<u4")
+    return np.frombuffer(kept.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass"), np.uint8)
 
 
 def suffix_automaton(text: np.ndarray, width: int) -> np.ndarray:
@@ -92,36 +88,42 @@ def suffix_automaton(text: np.ndarray, width: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Automata of all languages in one table: a state is the place of its row, -1 is no state."""
+    """Automata of all languages in one table: a state is the place of its row, -1 is no state.
+
+    Each language has classes of its own for the bytes that its text has, and one for all others.
+    """
 
     langs: list[str]
-    alphabet: Alphabet
+    classes: np.ndarray
     step: np.ndarray
     roots: np.ndarray
     sizes: np.ndarray
 
 
 def fit(texts: dict[str, list[str]], chars: int = FIT_CHARS) -> Model:
-    """A suffix automaton for every language, over at most ``chars`` characters of its texts."""
+    """A suffix automaton for every language, over at most ``chars`` bytes of its coded texts."""
     langs = sorted(texts)
-    alphabet = Alphabet([t for lang in langs for t in texts[lang]])
     steps, roots, sizes, used = [], [], [], 0
-    for lang in langs:
-        coded = [np.append(alphabet.encode(t), np.uint8(_BREAK)) for t in texts[lang]]
+    classes = np.full((len(langs), 256), _RARE, np.int32)
+    for k, lang in enumerate(langs):
+        coded = [np.append(encode(t), np.uint8(_BREAK)) for t in texts[lang]]
         text = np.concatenate(coded)[:chars] if coded else np.zeros(0, np.uint8)
-        step = suffix_automaton(text, alphabet.width)
-        steps.append(np.where(step >= 0, (step + used) * alphabet.width, -1).astype(np.int32).ravel())
-        roots.append(used * alphabet.width)
+        kinds = np.unique(text)
+        classes[k, kinds] = _RARE + 1 + np.arange(len(kinds))
+        width = len(kinds) + 1
+        step = suffix_automaton(classes[k, text], width)
+        steps.append(np.where(step >= 0, step * width + used, -1).astype(np.int32).ravel())
+        roots.append(used)
         sizes.append(max(2, len(text)))
-        used += len(step)
+        used += step.size
     table = np.concatenate(steps) if steps else np.zeros(0, np.int32)
-    return Model(langs, alphabet, table, np.array(roots, np.int32), np.array(sizes, np.int64))
+    return Model(langs, classes, table, np.array(roots, np.int32), np.array(sizes, np.int64))
 
 
 def phrases(model: Model, coded: list[np.ndarray]) -> np.ndarray:
     """Phrases that every text needs in every language: rows are texts, columns languages.
 
-    A phrase is the longest match of what follows; the character that ends it
+    A phrase is the longest match of what follows; the byte that ends it
     begins the next one, and one that the language never has is a phrase of its own.
     Segments of all texts are read side by side, the longest first.
     """
@@ -145,14 +147,14 @@ def phrases(model: Model, coded: list[np.ndarray]) -> np.ndarray:
     state = np.repeat(roots, len(owners), axis=1)
     ended = np.ones(state.shape, np.int32)
     for t, n in enumerate(alive.tolist()):
-        c = lanes[t, :n]
+        c = model.classes[:, lanes[t, :n]]
         now = state[:, :n]
         following = model.step.take(now + c)
         lang, lane = np.nonzero(following < 0)
         if len(lane):
             # A character that is nowhere in the language costs a phrase and leaves none begun.
             root = model.roots[lang]
-            again = model.step.take(root + c[lane])
+            again = model.step.take(root + c[lang, lane])
             unknown = again < 0
             ended[lang, lane] += (now[lang, lane] != root).astype(np.int32) + unknown
             following[lang, lane] = np.where(unknown, root, again)
@@ -169,7 +171,10 @@ def bits_per_char(model: Model, counts: np.ndarray, sizes: np.ndarray) -> np.nda
 
 
 def predict(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
-    """Language and score of every text; ``und`` and 0 for texts without a letter and for a model without languages."""
+    """Language and score of every text; ``und`` and 0 for texts without a letter and for a model without languages.
+
+    Of languages with equally many bits the first by name is taken.
+    """
     out: list[tuple[str, float]] = [("und", 0.0)] * len(texts)
     wanted = [i for i, t in enumerate(texts) if t and model.langs and any(map(str.isalpha, t))]
     at = 0
@@ -178,7 +183,7 @@ def predict(model: Model, texts: list[str | None]) -> list[tuple[str, float]]:
         while stop < len(wanted) and (stop == at or size + len(texts[wanted[stop]]) <= PART_CHARS):
             size += len(texts[wanted[stop]])
             stop += 1
-        coded = [model.alphabet.encode(texts[i]) for i in wanted[at:stop]]
+        coded = [encode(texts[i]) for i in wanted[at:stop]]
         sizes = np.array([len(c) for c in coded])
         bits = bits_per_char(model, phrases(model, coded), sizes)
         best = bits.argmin(axis=1)
@@ -194,15 +199,18 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     """Fit on at most ``rows`` labelled rows of each language, chosen by a hash of the key.
 
     Rows of usual length (``FIT_ROW_CHARS``) come first; a null label, text or key and empty texts
-    teach nothing. Keys are chosen before any text moves: rows are counted by the leading bits of
+    teach nothing; rows equal in label, key and text teach once. Keys are chosen before any text moves: rows are counted by the leading bits of
     their hash, so that only those up to the bits of the last chosen row are put in order. The driver
     gets the texts of the chosen rows, no more than the model can use.
     """
     known = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(key).alias("key"))
     known = known.where("lang IS NOT NULL AND key IS NOT NULL AND length(text) > 0")
-    hashed = F.xxhash64("key", F.lit(11))
-    long = F.length("text") > FIT_ROW_CHARS
-    sized = known.select("lang", "key", F.length("text").alias("n"), long.alias("long"), hashed.alias("hash"))
+    known = known.withColumn("mark", F.xxhash64("text"))
+    long = F.col("n") > FIT_ROW_CHARS
+    # One row a text of a key, however often it is repeated; counted where the rows are before it moves.
+    sized = known.groupBy("lang", "key", "mark").agg(F.min(F.length("text")).alias("n"))
+    sized = sized.select("lang", "key", "mark", "n", long.alias("long"), F.xxhash64("key", F.lit(11)).alias("hash"))
+    sized = materialize(sized, "labelled")
     # Ordered like (long, hash), in 2 ** (HASH_BITS + 1) steps.
     step = F.shiftright("hash", 64 - HASH_BITS) + F.when(F.col("long"), F.lit(1 << HASH_BITS)).otherwise(F.lit(0))
     counted = sized.groupBy("lang", step.alias("step")).agg(F.count(F.lit(1)).alias("rows"))
@@ -211,15 +219,16 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     # One row a language, of which the model holds an automaton each.
     last = F.broadcast(before.groupBy("lang").agg(F.max("step").alias("last")))
     first = sized.join(last, "lang").where(step <= F.col("last"))
-    order = Window.partitionBy("lang").orderBy("long", "hash", "key")
+    order = Window.partitionBy("lang").orderBy("long", "hash", "key", "mark")
     chosen = (
         first.withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= rows)
         .withColumn("before", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
         .where(F.col("before") < 2 * FIT_CHARS)
     )
-    # At most ``rows`` keys a language.
-    found = known.join(F.broadcast(chosen.select("lang", "key", "place")), ["lang", "key"])
+    # At most ``rows`` texts a language, one row of each.
+    found = known.join(F.broadcast(chosen.select("lang", "key", "mark", "place")), ["lang", "key", "mark"])
+    found = found.groupBy("lang", "place").agg(F.min("text").alias("text"))
     texts: dict[str, list[str]] = {}
     for r in sorted(found.select("lang", "place", "text").collect(), key=lambda r: (r["lang"], r["place"])):
         texts.setdefault(r["lang"], []).append(r["text"])

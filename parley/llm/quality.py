@@ -198,7 +198,8 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, share: float) -> Model:
 def learn(df: DataFrame, labelled: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", rows: int = FIT_ROWS) -> Model:
     """Fit on the texts of at most ``rows`` labelled rows of each class, chosen by a hash of their key.
 
-    Labels other than 0 and 1 and null keys teach nothing; of repeated labels of a key the least counts.
+    Labels other than 0 and 1 and null keys teach nothing; of repeated labels of a key the least counts,
+    of repeated rows of a key the least text.
     Keys are chosen before any text moves, so the texts join a bounded table. Indicators are found where the texts
     are; one task holds those of the chosen rows (20 KB each or so) and fits the model.
     """
@@ -211,6 +212,9 @@ def learn(df: DataFrame, labelled: DataFrame, text: str = "text", key: str = "do
     chosen = materialize(picked[0].union(picked[1]), "chosen")
     texts = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).where("text IS NOT NULL")
     found = texts.join(F.broadcast(chosen), "key")  # at most two times ``rows`` keys
+    # One text a key, chosen where the rows are before any moves.
+    found = found.groupBy("key", "label").agg(F.min("text").alias("text"))
+    found = found.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -58,7 +58,8 @@ def _coordinates(df: DataFrame, dims: dict[str, Column]) -> DataFrame:
     ends = df.agg(*(f(d).alias(f"{n}_{f.__name__}") for n, d in dims.items() for f in (F.min, F.max))).first()
     # Equal texts stand side by side, so only a cut through their group parts them.
     of_text = F.shiftrightunsigned(F.xxhash64("crc", "size"), 64 - TIE_BITS // 2)
-    tie = F.shiftleft(of_text, TIE_BITS // 2) + F.shiftrightunsigned(F.xxhash64("key"), 64 - TIE_BITS // 2)
+    of_row = F.when(F.col("number") > 0, F.xxhash64("key", "number")).otherwise(F.xxhash64("key"))
+    tie = F.shiftleft(of_text, TIE_BITS // 2) + F.shiftrightunsigned(of_row, 64 - TIE_BITS // 2)
     out = {}
     for n in names:
         low, high = ends[f"{n}_min"], ends[f"{n}_max"]
@@ -67,7 +68,25 @@ def _coordinates(df: DataFrame, dims: dict[str, Column]) -> DataFrame:
         else:
             value = F.coalesce(F.floor((dims[n] - low) / (high - low) * ((1 << VALUE_BITS) - 2)) + 1, F.lit(0))
         out[n] = F.shiftleft(value.cast("long"), TIE_BITS) + tie
-    return df.select("key", "size", "crc", *(c.alias(n) for n, c in out.items()))
+    return df.select("key", "size", "crc", "number", *(c.alias(n) for n, c in out.items()))
+
+
+def _counted_repeats(sized: DataFrame) -> DataFrame:
+    """Column ``number``: 0, 1, 2 and so on for rows equal in key and text, so that a cut can part them.
+
+    Rows are numbered inside each split (column ``split``), after those of the splits before it, so that
+    no task sees more than a split's rows however many are equal.
+    """
+    same = F.xxhash64("key", "crc", "size")
+    if sized.groupBy(same).count().where("count > 1").isEmpty():
+        return sized.withColumn("number", F.lit(0).cast("long"))
+    sized = sized.withColumn("same", same)
+    counts = sized.groupBy("same", "split").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("same").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("same", "split", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    within = F.row_number().over(Window.partitionBy("same", "split").orderBy("key")) - 1
+    numbered = sized.withColumn("within", within).join(offsets, ["same", "split"])
+    return numbered.withColumn("number", F.col("within") + F.col("before")).drop("same", "within", "before")
 
 
 def _leaf(node: Node) -> Column:
@@ -158,7 +177,8 @@ def shard(
     leaves below, so shards have near-equal bytes: a cut misses by
     ``TOLERANCE`` of a shard, or half a row, at most. Equal values, as of a source
     with a third of all rows, are put in order by a hash, so a large group
-    is cut as well; equal texts agree in length and language and so stay together unless a cut goes through their group. Null dimensions come first, a null text has size 8 and
+    is cut as well; equal texts agree in length and language and so stay together unless a cut goes through their group.
+    Rows equal in key and text are told apart by a number, so a group of them is cut too. Null dimensions come first, a null text has size 8 and
     checksum 0, an empty table gives no rows. Slots are numbered without gaps in
     each shard; repeated rows and null keys get slots of their own.
 
@@ -170,10 +190,11 @@ def shard(
         F.col(f"`{key}`").alias("key"),
         size_of(F.col(f"`{text}`")).alias("size"),
         F.crc32(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")).alias("crc"),
+        F.spark_partition_id().alias("split"),
         *(_number(F.col(f"`{d}`"), kinds[d]).alias(f"d{i}") for i, d in enumerate(dims)),
     )
     names = [f"d{i}" for i in range(len(dims))]
-    sized = materialize(prepared, "sizes")
+    sized = _counted_repeats(materialize(prepared, "sizes"))
     rows = materialize(_coordinates(sized, {n: F.col(n) for n in names}), "coordinates")
     total, n = rows.agg(F.sum("size"), F.count("*")).first()
     tree = kd_tree(rows, names, shards, total or 0)
@@ -183,12 +204,12 @@ def shard(
 
 def _numbered(rows: DataFrame, cells: int, key: str) -> DataFrame:
     """Slots in each shard: cells of a shard follow one another, rows of a cell are numbered by key."""
-    rows = rows.withColumn("cell", F.pmod(F.xxhash64("key", "crc", "size"), F.lit(cells)))
-    rows = materialize(rows.select("key", "size", "crc", "shard", "cell"), "shards")
+    rows = rows.withColumn("cell", F.pmod(F.xxhash64("key", "crc", "size", "number"), F.lit(cells)))
+    rows = materialize(rows.select("key", "size", "crc", "number", "shard", "cell"), "shards")
     counts = rows.groupBy("shard", "cell").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    within = Window.partitionBy("shard", "cell").orderBy("key", "crc")
+    within = Window.partitionBy("shard", "cell").orderBy("key", "crc", "size", "number")
     placed = rows.withColumn("slot", F.row_number().over(within) - 1).join(offsets, ["shard", "cell"])
     return placed.select(
         F.col("key").alias(key),

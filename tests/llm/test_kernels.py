@@ -171,8 +171,8 @@ def plain_phrases(text, known):
 def test_phrases_are_greedy_longest_matches():
     texts = {"x": ["abab abba babb"], "y": ["cdcd dccd abcd"]}
     model = langid.fit(texts)
-    coded = [model.alphabet.encode(t) for t in ["abbabbcd", "dcdcab ab", "zzz", ""]]
-    known = {k: "".join(map(chr, np.append(model.alphabet.encode(v[0]), 0))) for k, v in texts.items()}
+    coded = [langid.encode(t) for t in ["abbabbcd", "dcdcab ab", "zzz", "", "a\u4e2da"]]
+    known = {k: "".join(map(chr, np.append(langid.encode(v[0]), 32))) for k, v in texts.items()}
     want = [[plain_phrases("".join(map(chr, c)), known[k]) for k in model.langs] for c in coded]
     assert langid.phrases(model, coded).tolist() == want
 
@@ -185,6 +185,28 @@ def test_language_of_texts_and_of_none():
     assert langid.predict(langid.fit({}), ["abc"]) == [("und", 0.0)]
 
 
+WRITTEN = {
+    "zh": "今天天气很好我们去公园散步然后回家吃饭孩子们在学校学习数学和语文",
+    "ja": "今日は天気がとても良いので公園を散歩してから家に帰ってご飯を食べました子供たちは学校で数学を勉強します",
+    "ko": "오늘은 날씨가 아주 좋아서 공원을 산책하고 집에 돌아와 밥을 먹었습니다 아이들은 학교에서 수학을 공부합니다",
+    "el": "σήμερα ο καιρός είναι πολύ καλός και πήγαμε στο πάρκο για περίπατο και μετά γυρίσαμε στο σπίτι",
+    "ru": "сегодня очень хорошая погода мы пошли гулять в парк а потом вернулись домой обедать дети учатся в школе",
+    "en": "today the weather is very good so we took a walk in the park and then went home to eat the children study",
+}
+UNSEEN = {"zh": "我们回家学习数学", "ja": "公園で勉強しました", "ko": "학교에서 밥을 먹었습니다", "el": "πήγαμε στο σπίτι και είναι καλός", "ru": "дети пошли домой гулять", "en": "the children went home"}
+
+
+def test_languages_of_many_scripts_in_one_model():
+    model = langid.fit({k: [v, v] for k, v in WRITTEN.items()})
+    assert [found[0] for found in langid.predict(model, list(UNSEEN.values()))] == list(UNSEEN)
+    assert langid.encode("Ä-中, 1b").tobytes().decode() == "ä 中 b" and langid.encode("").size == 0
+
+
+def test_equal_languages_are_told_by_name():
+    model = langid.fit({"b": ["one text"], "a": ["one text"]})
+    assert [found[0] for found in langid.predict(model, ["one", "zzz", "\u4e2d"])] == ["a", "a", "a"]
+
+
 def plain_syncmers(text):
     def h(s):
         return syncmers._hashes(np.array([ord(c) + 1 for c in s], np.uint64), slice(None), len(s))[0]

@@ -122,6 +122,34 @@ def test_shards_of_equal_bytes(spark):
     assert again == {(r["doc_id"], r["shard"], r["slot"]) for r in found}
 
 
+def test_shards_part_rows_equal_in_key_and_text(spark):
+    rows = [(None, "same text", "en", 9) if i % 2 else (i, "y" * (i % 97), "en", i % 97) for i in range(4800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long").repartition(6)
+    placed = shards.shard(df, 24)
+    sizes = [r["sum(size)"] for r in placed.groupBy("shard").sum("size").collect()]
+    assert len(sizes) == 24 and max(sizes) - min(sizes) <= 0.03 * max(sizes)
+    slots = {}
+    found = placed.collect()
+    for r in found:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    again = shards.shard(df.repartition(3), 24).collect()
+    assert sorted(map(str, again)) == sorted(map(str, found))
+
+
+def test_repeated_rows_teach_once(spark, monkeypatch):
+    rows = [(7, "the same words again", "en", 1)] * 900 + [(i, f"some other words {i}", "en", i % 2) for i in range(20, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int").repartition(5)
+    monkeypatch.setattr(langid, "fit", lambda texts: texts)
+    assert sorted(langid.learn(df, rows=400)["en"]) == sorted({r[1] for r in rows})
+    seen = []
+    labels = df.select("doc_id", "quality").distinct()
+    real = quality.materialize
+    monkeypatch.setattr(quality, "materialize", lambda d, name: seen.append((name, out := real(d, name))) or out)
+    quality.learn(df, labels, rows=50)
+    assert dict(seen)["indicators"].count() == 21
+
+
 @pytest.mark.parametrize("parts", [1, 2, 7])
 def test_every_text_meets_the_next(spark, parts):
     texts = {i * 3: f"text number {i} " * (i % 5 + 1) for i in range(40)}
