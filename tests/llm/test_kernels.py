@@ -149,8 +149,8 @@ PAGE = """<html><head><title>t</title><script>var a="<p>x</p>";</script></head><
 def test_article_without_what_stands_around_it():
     assert sites.main_text(PAGE, set()) == "A & B One two three four five"
     assert sites.main_text("", set()) == "" and sites.main_text("plain < text", set()) == "plain < text"
-    path = next(b.path for b in sites.blocks("<body><div class='x1'>same</div><p>own</p>") if b.text == "same")
-    assert sites.main_text("<body><div class='x2'>same</div><p>own</p>", {path}) == "own"
+    branch = next(sites.branch_of(b) for b in sites.blocks("<body><div class='x1'>same</div><p>own</p>") if b.text == "same")
+    assert sites.main_text("<body><div class='x2'>same</div><p>own</p>", {branch}) == "own"
 
 
 def test_unclosed_elements_do_not_hang_or_lose_text():
@@ -185,6 +185,27 @@ def test_language_of_texts_and_of_none():
     assert langid.predict(langid.fit({}), ["abc"]) == [("und", 0.0)]
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<div class="content has-sidebar"><p>All of the text</p></div>', "All of the text"),
+        ('<div class="post no-comments"><p>All of the text</p></div>', "All of the text"),
+        ('<div id="social-history"><p>All of the text</p></div>', "All of the text"),
+        ('<div class="search"><p>All of the text</p></div>', "All of the text"),
+        ('<h1 class="main-title">Title</h1><div>A long text beside it</div>', "Title A long text beside it"),
+        ("<article>teaser</article><div>A long text beside it</div>", "teaser A long text beside it"),
+        ("<p>" + "\u0130" * 60 + "</p><script>var a;</script><p>after</p>", "\u0130" * 60 + " after"),
+        ("<p>one</p><SCRIPT>x</ScRiPt><p>two</p>", "one two"),
+        ('<div class="related-posts">r</div><div class="cookie-notice">c</div><div class="ad-box">a</div><p>own</p>', "own"),
+        ('<article>own<div class="ad">a</div><section class="comments">c</section></article><div class="site-footer">f</div>', "own"),
+        ('<article></article><div class="ad">a</div>', ""),
+        ("<nav>only links</nav>", ""),
+    ],
+)
+def test_names_alone_do_not_take_a_pages_text(page, text):
+    assert sites.main_text(f"<html><body>{page}</body></html>", set()) == text
+
+
 WRITTEN = {
     "zh": "今天天气很好我们去公园散步然后回家吃饭孩子们在学校学习数学和语文",
     "ja": "今日は天気がとても良いので公園を散歩してから家に帰ってご飯を食べました子供たちは学校で数学を勉強します",

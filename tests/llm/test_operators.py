@@ -204,6 +204,40 @@ def test_template_branches_go_inside_main_text_too(spark):
     assert found == {i: f"Story {i} Own text {i}" for i in range(6)} | {10 + i: "Told again" for i in range(9)}
 
 
+def test_importance_is_that_of_plain_entropies(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(12):
+        extra = "".join(f"<li>item {k}</li>" for k in rng.integers(0, 4, rng.integers(0, 4)))
+        rows.append((i, f"http://h{i % 2}.org/{i}", f"<div>top</div><ul class='no-menu'>{extra}</ul><main><p>{rng.integers(0, 5)} own {i}</p><p>x</p></main>"))
+    tree = sites.style_tree(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    for r in tree:
+        contents, shapes = [], []
+        for _, url, page in rows:
+            found = [b for b in sites.blocks(page) if b.rank < sites.NAMED]
+            here = [b for b in found if (b.path, sites._kind(b)) == (r["path"], r["kind"])]
+            if here and r["host"] in url:
+                contents.append({b.text for b in here})
+                shapes.append(tuple(b.path for b in found if b.path.rpartition("/")[0] == r["path"].rpartition("/")[0]))
+        m = len(contents)
+        assert r["pages"] == m
+        share = [shapes.count(x) / m for x in set(shapes)]
+        presentation = -sum(p * np.log(p) for p in share) / np.log(m) if m > 1 else 1.0
+        texts = set().union(*contents)
+        held = [sum(t in c for c in contents) for t in texts]
+        content = 1 - np.mean([sum(-(1 / n) * np.log(1 / n) for _ in range(n)) for n in held]) / np.log(m) if m > 1 else 1.0
+        assert np.isclose(r["presentation"], presentation) and np.isclose(r["content"], content)
+        assert np.isclose(r["importance"], 0.25 * presentation + 0.75 * content)
+    assert {r["kind"] for r in tree} == {"plain", "hinted", "main"}
+
+
+def test_boilerplate_goes_without_any_names(spark):
+    page = "<body><div>Home News Contact</div><div>Own text {0} of this page</div><p>More of {0}</p><div>All rights reserved</div></body>"
+    rows = [(i, "http://a.org/x", page.format(i * 7)) for i in range(9)]
+    found = sites.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in found} == {i: f"Own text {i * 7} of this page More of {i * 7}" for i in range(9)}
+
+
 LARGE = "<p>a page larger than an archive" * 300_000
 
 
