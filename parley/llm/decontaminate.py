@@ -21,10 +21,10 @@ BLOCK = 16
 BITS = 18
 #: Dimensions of the latent space, more of them while it is found, and rounds of power iteration.
 RANK, EXTRA, ROUNDS = 240, 16, 2
-#: Weight of the items beside the sample where the space is fitted.
+#: Weight of the items beside the documents where the space is fitted.
 ITEM_WEIGHT = 8.0
-#: Documents that the space is fitted on beside all items, chosen by a hash of their key.
-FIT_ROWS = 4_000
+#: Cells that a task has for sums of pairs of terms, and the parts of one that they are summed in.
+CELLS, PARTS = 1 << 24, 1 << 24
 #: Least cosine of a candidate; least share of an item's words in a common subsequence, and of its answer's words.
 LEAST_COSINE, LEAST_COMMON, LEAST_ANSWER = 0.35, 0.6, 0.5
 #: Passages of items that share a space, fewer than its dimensions; and spaces that are searched in one pass.
@@ -200,9 +200,94 @@ def _rows(lists: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), width)
 
 
-def _products(df: DataFrame, weight: np.ndarray, slots: list[np.ndarray], bases: list[np.ndarray]) -> list[np.ndarray]:
-    """For each space: the passages' matrix, transposed, times itself, times the basis; summed over all partitions of ``df``."""
-    shared = Shipped(df.sparkSession, (weight, slots, bases))
+def _corners(n: int) -> np.ndarray:
+    """Where the rows of a lower triangle of ``n`` rows begin in its cells, and its number of cells."""
+    return np.arange(n + 1) * np.arange(1, n + 2) // 2
+
+
+def _add_pairs(cells: np.ndarray, slot: np.ndarray, weight: np.ndarray, rows: np.ndarray, lengths: np.ndarray) -> None:
+    """Add each two terms' product in some blocks of terms, of length 1 in the space of all terms, to a lower triangle."""
+    begin = _corners(int(slot.max()) + 1)
+    found = -np.sort(-np.append(slot, np.int32(-1))[rows], axis=1)
+    counts = (found >= 0).sum(axis=1)
+    # Blocks with many known terms first, so that the k-th terms of all are the k-th column's beginning.
+    order = np.argsort(-counts, kind="stable")
+    found, counts = found[order], counts[order]
+    by_slot = np.append(weight[slot_terms(slot)], np.float32(0)).astype(np.float64)
+    values = np.ascontiguousarray((by_slot[found] / np.sqrt(np.maximum(lengths[order], 1e-9))[:, None]).T)
+    found = np.ascontiguousarray(found.T).astype(np.int64)
+    for k in range(counts[0] if len(counts) else 0):
+        n = np.searchsorted(-counts, -k, "left")
+        for j in range(k + 1):
+            # Whole parts, so that sums are the same in any order.
+            parts = np.rint(values[j, :n] * values[k, :n] * PARTS).astype(np.int64)
+            np.add.at(cells, begin[found[j, :n]] + found[k, :n], parts)
+
+
+_PAIRS = "space long, slot long, other array<int>, parts array<long>"
+
+
+def _pairs_of(space: int, first: int, cells: np.ndarray, begin: np.ndarray) -> pa.RecordBatch:
+    """Rows ``first`` and on of a triangle, without empty cells."""
+    used = np.flatnonzero(cells)
+    offsets = pa.array(np.searchsorted(used, begin - begin[0]), pa.int32())
+    n = len(begin) - 1
+    row = np.searchsorted(begin - begin[0], used, "right") - 1
+    other = pa.ListArray.from_arrays(offsets, pa.array(used - (begin - begin[0])[row], pa.int32()))
+    parts = pa.ListArray.from_arrays(offsets, pa.array(cells[used], pa.int64()))
+    columns = [pa.array(np.full(n, space)), pa.array(np.arange(first, first + n)), other, parts]
+    return pa.record_batch(columns, ["space", "slot", "other", "parts"])
+
+
+def pair_sums(df: DataFrame, weight: np.ndarray, slots: list[np.ndarray]) -> DataFrame:
+    """For each space: the matrix of all rows' passages, transposed, times itself; a row a term, with the terms up to it.
+
+    Texts are read once for as many spaces as have ``CELLS`` cells; the result grows with the spaces' terms, not with the texts.
+    """
+    sizes = [int(_corners(int(s.max()) + 1)[-1]) for s in slots]
+    turns: list[list[int]] = [[]]
+    for i, size in enumerate(sizes):
+        if turns[-1] and sum(sizes[k] for k in turns[-1]) + size > CELLS:
+            turns.append([])
+        turns[-1].append(i)
+
+    def counted(turn: list[int]) -> DataFrame:
+        shared = Shipped(df.sparkSession, (weight, [slots[i] for i in turn]))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            weight, slots = shared.value
+            squares = np.append(weight * weight, np.float32(0))
+            begins = [_corners(int(s.max()) + 1) for s in slots]
+            totals = [np.zeros(b[-1], np.int64) for b in begins]
+            for batch in batches:
+                for start, stop in slices(batch.column(0)):
+                    rows = Blocks.of(*word_hashes(batch.column(0).slice(start, stop - start))).terms
+                    lengths = squares[rows].sum(axis=1)
+                    for cells, slot in zip(totals, slots, strict=True):
+                        _add_pairs(cells, slot, weight, rows, lengths)
+            for i, cells, begin in zip(turn, totals, begins, strict=True):
+                for at in range(0, len(begin) - 1, 256):
+                    some = begin[at : at + 257]
+                    yield _pairs_of(i, at, cells[some[0] : some[-1]], some)
+
+        return df.mapInArrow(run, _PAIRS).where(F.size("other") > 0)
+
+    def add(table: pa.Table) -> pa.Table:
+        space, slot = table.column("space")[0].as_py(), table.column("slot")[0].as_py()
+        cells = np.zeros(slot + 1, np.int64)
+        for other, parts in zip(table.column("other").chunks, table.column("parts").chunks, strict=True):
+            np.add.at(cells, other.flatten().to_numpy(), parts.flatten().to_numpy())
+        return pa.Table.from_batches([_pairs_of(space, slot, cells, np.array([0, slot + 1]))])
+
+    found = counted(turns[0])
+    for turn in turns[1:]:
+        found = found.union(counted(turn))
+    return found.groupBy("space", "slot").applyInArrow(add, _PAIRS)
+
+
+def _products(pairs: DataFrame, bases: list[np.ndarray]) -> list[np.ndarray]:
+    """For each space: the matrix that ``pair_sums`` has a triangle of, times the basis."""
+    shared = Shipped(pairs.sparkSession, bases)
     kinds = pa.schema([("space", pa.int64()), ("slot", pa.int64()), ("product", pa.list_(pa.float64()))])
 
     def batch_of(space: int, used: np.ndarray, product: np.ndarray) -> pa.RecordBatch:
@@ -210,13 +295,21 @@ def _products(df: DataFrame, weight: np.ndarray, slots: list[np.ndarray], bases:
         return pa.record_batch([pa.array(np.full(len(used), space)), pa.array(used), lists.cast(kinds.field(2).type)], schema=kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, slots, bases = shared.value
+        bases = shared.value
         totals = [np.zeros(b.shape) for b in bases]
         for batch in batches:
-            for start, stop in slices(batch.column(0)):
-                rows = Blocks.of(*word_hashes(batch.column(0).slice(start, stop - start))).terms
-                for total, slot, basis in zip(totals, slots, bases, strict=True):
-                    total += _product(slot, weight, basis, rows)
+            spaces, rows = (batch.column(c).to_numpy() for c in (0, 1))
+            ends, others, parts = batch.column(2).offsets.to_numpy(), batch.column(2).values.to_numpy(), batch.column(3).values.to_numpy()
+            for i in np.unique(spaces):
+                mine = np.flatnonzero(spaces == i)
+                for at in range(0, len(mine), 256):
+                    some = mine[at : at + 256]
+                    half = np.zeros((len(some), len(bases[i])))
+                    for k, r in enumerate(some):
+                        half[k, others[ends[r] : ends[r + 1]]] = parts[ends[r] : ends[r + 1]] / PARTS
+                    totals[i][rows[some]] += half @ bases[i]
+                    half[np.arange(len(some)), rows[some]] = 0
+                    totals[i] += half.T @ bases[i][rows[some]]
         for i, total in enumerate(totals):
             used = np.flatnonzero(np.any(total != 0, axis=1))
             yield batch_of(i, used, total[used])
@@ -231,8 +324,8 @@ def _products(df: DataFrame, weight: np.ndarray, slots: list[np.ndarray], bases:
             yield batch_of(space, np.array([slot]), product[None, :])
 
     fields = "space long, slot long, product array<double>"
-    # One row a space and term, in the order of tasks' sums made the same each time.
-    found = df.mapInArrow(run, fields).repartition("space", "slot").mapInArrow(add, fields).toArrow()
+    # One row a space and term.
+    found = pairs.mapInArrow(run, fields).repartition("space", "slot").mapInArrow(add, fields).toArrow()
     shared.drop()
     out = [np.zeros(b.shape) for b in bases]
     space, slot = (found.column(c).to_numpy() for c in ("space", "slot"))
@@ -276,13 +369,14 @@ def item_passages(items: list[Item]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(items)), [len(s) for s in starts]), np.concatenate(starts)
 
 
-def latent_spaces(sample: DataFrame, items: list[Item], counts: np.ndarray, passages: int, rank: int = RANK) -> list[Space]:
+def latent_spaces(df: DataFrame, items: list[Item], counts: np.ndarray, passages: int, rank: int = RANK) -> list[Space]:
     """Latent spaces of TF-IDF passages by a randomised singular value decomposition.
 
     Every item is cut into passages, and each space has at most ``PASSAGES`` of them, so that its dimensions suffice to hold them. A
-    space's matrix has the passages of the sample and its own as rows and its own passages' terms as columns: other terms have no part
-    in a product with them, but count in a passage's length. A random basis is multiplied by the matrix and its transpose, over all
-    partitions and for all spaces at once, and made orthogonal, ``ROUNDS`` times; the small problem that is left gives the singular vectors.
+    space's matrix has the passages of all rows and its own as rows and its own passages' terms as columns: other terms have no part
+    in a product with them, but count in a passage's length. The matrix's transpose times itself is summed once over all texts; a random
+    basis is multiplied by it, for all spaces at once, and made orthogonal, ``ROUNDS`` times; the small problem that is left gives the
+    singular vectors.
     """
     weight = _weights(counts, passages)
     item_of, offset = item_passages(items)
@@ -296,11 +390,13 @@ def latent_spaces(sample: DataFrame, items: list[Item], counts: np.ndarray, pass
         bases.append(np.linalg.qr(np.random.default_rng(5).standard_normal((n, min(n, rank + EXTRA))))[0])
         places.append(some)
 
+    pairs = materialize(pair_sums(df, weight, slots), "pairs")
+
     def multiplied(bases: list[np.ndarray]) -> list[np.ndarray]:
         out = []
-        for product, slot, basis, found in zip(_products(sample, weight, slots, bases), slots, bases, own, strict=True):
+        for product, slot, basis, found in zip(_products(pairs, bases), slots, bases, own, strict=True):
             mine = _product(slot, weight, basis, found.terms)
-            # Items are few beside the sample, but the space is for them.
+            # Items are few beside the documents, but the space is for them.
             out.append(product / max(np.abs(product).max(), 1e-9) + ITEM_WEIGHT * mine / max(np.abs(mine).max(), 1e-9))
         return out
 
@@ -403,15 +499,16 @@ def _search(df: DataFrame, spaces: list[Space], text: str, key: str) -> DataFram
 
 
 def _all_spaces(
-    df: DataFrame, benchmark: DataFrame, text: str, key: str, item: str, item_text: str, fit_rows: int
+    df: DataFrame, benchmark: DataFrame, text: str, key: str, item: str, item_text: str, fit_rows: int | None
 ) -> Iterator[list[Space]]:
     """The latent spaces of all items, as many at a time as one pass searches."""
     counts, passages = document_counts(df, text)
-    share = min(1.0, fit_rows / max(1, df.count()))
-    # A hash below a bound: the same rows each time, about ``fit_rows`` of them.
-    bound = int(share * (1 << 31))
-    sample = df.where(F.pmod(F.xxhash64(key, F.lit(9)), F.lit(1 << 31)) < bound).select(F.col(f"`{text}`").alias("text"))
-    sample = materialize(sample, "sample")
+    fitted = df.select(F.col(f"`{text}`").alias("text"))
+    if fit_rows is not None:
+        share = min(1.0, fit_rows / max(1, df.count()))
+        # A hash below a bound: the same rows each time, about ``fit_rows`` of them.
+        chosen = df.where(F.pmod(F.xxhash64(key, F.lit(9)), F.lit(1 << 31)) < int(share * (1 << 31)))
+        fitted = materialize(chosen.select(F.col(f"`{text}`").alias("text")), "fitted")
     asked = benchmark.select(F.col(f"`{item}`").alias("item"), F.coalesce(F.col(f"`{item_text}`"), F.lit("")).alias("text"))
     asked = asked.where("item IS NOT NULL")
     n = asked.agg(F.sum(F.ceil(F.size(F.split("text", r"\s+")) / (2 * BLOCK)))).first()[0] or 0
@@ -420,7 +517,7 @@ def _all_spaces(
         mine = asked.where(F.pmod(F.xxhash64("item", "text"), F.lit(groups)) == g)
         items = read_items(sorted((r[0], r[1]) for r in mine.collect()))
         if items:
-            yield latent_spaces(sample, items, counts, passages)
+            yield latent_spaces(fitted, items, counts, passages)
 
 
 def contaminated(
@@ -430,12 +527,12 @@ def contaminated(
     key: str = "doc_id",
     item: str = "item_id",
     item_text: str = "text",
-    fit_rows: int = FIT_ROWS,
+    fit_rows: int | None = None,
 ) -> DataFrame:
     """Columns key, ``item_id``, ``cosine``, ``common`` and ``answer``: every row that holds an item or a paraphrase of it.
 
-    Term weights are counted over all passages of all rows; the latent spaces are fitted on all items' passages and the
-    passages of about ``fit_rows`` rows; every passage of every row is searched, and candidates are
+    Term weights are counted over all passages of all rows, and the latent spaces are fitted on them and all items' passages (a
+    caller may ask for about ``fit_rows`` rows instead); every passage of every row is searched, and candidates are
     checked with the item's whole words. Items of any number and length are cut into passages, ``PASSAGES`` of them to a space;
     ``SPACES`` spaces are searched in one pass, so neither a space nor what is broadcast grows with the benchmark. No text is shuffled.
     Null and empty texts and items match nothing; repeated rows each give their matches; other columns are not read.
@@ -470,7 +567,7 @@ def keep_clean(
     key: str = "doc_id",
     item: str = "item_id",
     item_text: str = "text",
-    fit_rows: int = FIT_ROWS,
+    fit_rows: int | None = None,
 ) -> DataFrame:
     """The rows of ``df`` whose text holds no item, judged where they are: no join, no shuffle.
 

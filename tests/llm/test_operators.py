@@ -313,6 +313,32 @@ def test_latent_search_recalls_the_candidates_of_full_vectors(spark, sf_dir):
         assert wanted and len(wanted & found) >= 0.9 * len(wanted)
 
 
+def test_spaces_are_fitted_on_every_row(spark, monkeypatch):
+    rows = [(i, f"a{i % 7} b{i % 11} c{i % 13} d") for i in range(6_000)]
+    df, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(rows[:3], "item_id long, text string")
+    seen, fit = [], decontaminate.latent_spaces
+    monkeypatch.setattr(decontaminate, "latent_spaces", lambda d, *a: seen.append(d.count()) or fit(d, *a))
+    decontaminate.contaminated(df, bench)
+    decontaminate.keep_clean(df, bench)
+    assert seen == [6_000, 6_000]
+
+
+@pytest.mark.parametrize("cells", [1 << 24, 1])
+def test_pair_sums_give_the_product_over_all_texts(spark, monkeypatch, cells):
+    monkeypatch.setattr(decontaminate, "CELLS", cells)
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 400, rng.integers(0, 90))) for _ in range(300)] + [None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    counts, passages = decontaminate.document_counts(df)
+    weight = decontaminate._weights(counts, passages)
+    slots = [decontaminate._slots(decontaminate.word_hashes(pa.array([t]))[0]) for t in (" ".join(texts[:9]), " ".join(texts[9:11]))]
+    bases = [rng.standard_normal((int(s.max()) + 1, 6)) for s in slots]
+    rows = decontaminate.Blocks.of(*decontaminate.word_hashes(pa.array(texts))).terms
+    found = decontaminate._products(decontaminate.pair_sums(df, weight, slots), bases)
+    for product, slot, basis in zip(found, slots, bases, strict=True):
+        assert np.allclose(product, decontaminate._product(slot, weight, basis, rows), atol=1e-3)
+
+
 @pytest.mark.parametrize(("items", "size"), [(40, 20), (1_000, 38), (200, 300), (40, 700)])
 def test_recall_does_not_depend_on_the_benchmark(spark, items, size):
     """Every second item stands in a document word for word, every other one with an eighth of its words changed."""
