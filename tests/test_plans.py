@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from parley.functions.messages import to_messages
@@ -11,6 +12,7 @@ from parley.operators.clean import convert_chat, normalize_rows, remove_duplicat
 from parley.operators.profile import preview
 from parley.operators.splits import head_per_split, split_dataset
 from parley.operators.turns import unfold_turns
+from parley.plans import queries
 from parley.plans.workflow import clean
 from parley.plans.inputs import table, untidy_conversations
 from parley.session import scratch_path
@@ -79,3 +81,17 @@ def test_exact_split_and_large_head_shuffle_nothing(spark, sf_dir):
 def test_preview_reads_only_what_it_shows(spark, sf_dir):
     steps = plan(preview(table(spark, sf_dir, "lineitem"), columns=2, order_by=["l_orderkey"]))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in steps
+
+
+@pytest.mark.parametrize(("name", "firsts"), [("stored_order", [("de", k) for k in range(1, 20, 2)] + [("en", k) for k in range(0, 20, 2)])])
+def test_stored_documents_have_parts_of_bounded_size(spark, monkeypatch, tmp_path, name, firsts):
+    """As many parts as the documents have bytes for, so that no task reads a fixed share of all."""
+    rows = [(k, "word " * 40, ("en", "de")[k % 2], "s", 200) for k in range(400)] + [(400, None, "en", None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(queries, "_PART_BYTES", 10_000, raising=False)
+    found = queries.QUERIES[name](spark, str(tmp_path)).collect()
+    assert sorted((r["split"], r["doc_id"]) for r in found) == firsts
+    files = sorted(str(f.relative_to(tmp_path)) for f in (tmp_path / name).glob("*/part-*"))
+    assert len({f.split("part-")[1][:5] for f in files}) == 11
+    assert spark.read.parquet(str(tmp_path / name)).count() == len(rows)
