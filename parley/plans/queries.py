@@ -493,10 +493,7 @@ def stored_order(spark, sf):
 
 @query
 def stored_example(spark, sf):
-    path = scratch_path(spark, "stored_example")
-    docs = _documents_by_language(spark, sf)
-    write_dataset(docs.repartitionByRange(4, "doc_id").sortWithinPartitions("split", "doc_id"), path)
-    return pick_example(read_dataset(spark, path, position=True), "train", 29).select("split", "doc_id", "text")
+    return pick_example(_stored_by_language(spark, sf, "stored_example"), "train", 29).select("split", "doc_id", "text")
 
 
 @query

@@ -83,7 +83,7 @@ def test_preview_reads_only_what_it_shows(spark, sf_dir):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in steps
 
 
-@pytest.mark.parametrize(("name", "firsts"), [("stored_order", [("de", k) for k in range(1, 20, 2)] + [("en", k) for k in range(0, 20, 2)])])
+@pytest.mark.parametrize(("name", "firsts"), [("stored_order", [("de", k) for k in range(1, 20, 2)] + [("en", k) for k in range(0, 20, 2)]), ("stored_example", [("de", 59)])])
 def test_stored_documents_have_parts_of_bounded_size(spark, monkeypatch, tmp_path, name, firsts):
     """As many parts as the documents have bytes for, so that no task reads a fixed share of all."""
     rows = [(k, "word " * 40, ("en", "de")[k % 2], "s", 200) for k in range(400)] + [(400, None, "en", None, None)]
