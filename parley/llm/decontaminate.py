@@ -23,8 +23,9 @@ BITS = 18
 RANK, EXTRA, ROUNDS = 240, 16, 2
 #: Weight of the items beside the documents where the space is fitted.
 ITEM_WEIGHT = 8.0
-#: Cells that a task has for sums of pairs of terms, and the parts of one that they are summed in.
-CELLS, PARTS = 1 << 24, 1 << 24
+#: Cells that a task has for sums of pairs of terms, and the parts of one that they are summed in: no passage adds more than one
+#: to a sum, so that sums of 2**35 passages are whole numbers of 64 bits.
+CELLS, PARTS = 1 << 24, 1 << 28
 #: Least cosine of a candidate; least share of an item's words in a common subsequence, and of its answer's words.
 LEAST_COSINE, LEAST_COMMON, LEAST_ANSWER = 0.35, 0.6, 0.5
 #: Passages of items that share a space, fewer than its dimensions; and spaces that are searched in one pass.

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from parley.llm import bpe, components, decontaminate, langid, pii, quality, shards, simhash, sites, syncmers, warc
 from parley.llm.queries import vocabulary
 
@@ -323,6 +324,16 @@ def test_spaces_are_fitted_on_every_row(spark, monkeypatch):
     assert seen == [6_000, 6_000]
 
 
+def test_the_pipeline_fits_spaces_on_every_row(spark, monkeypatch, tmp_path):
+    rows = [(i, f"a{i % 7} b{i % 11} c{i % 13} d") for i in range(6_000)]
+    spark.createDataFrame(rows[:3], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    seen, fit = [], decontaminate.latent_spaces
+    monkeypatch.setattr(decontaminate, "latent_spaces", lambda d, *a: seen.append(d.count()) or fit(d, *a))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path)).count()
+    assert seen == [6_000] and kept < 6_000
+
+
 @pytest.mark.parametrize("cells", [1 << 24, 1])
 def test_pair_sums_give_the_product_over_all_texts(spark, monkeypatch, cells):
     monkeypatch.setattr(decontaminate, "CELLS", cells)
